@@ -1,0 +1 @@
+"""Empty on purpose: the analyses of this library are batch jobs; there is no stream to rebuild."""
