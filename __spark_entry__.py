@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.survey import ActivityColumns, classify_columns
 from tallyloom.operators import clusters, mentions, postings, sampling, survey
 from tallyloom.plans import flows
-from tallyloom.plans.storage import materialize, new_path
+from tallyloom.plans.storage import new_path
 from tallyloom.sources import tables
 from tallyloom.sources.articles import article_lines, article_rejects, parse_articles, read_articles
 from tallyloom.sources.postings import parse_postings, posting_lines, posting_rejects, read_postings
@@ -49,11 +49,11 @@ def article_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mixed_article_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """English documents as article lines, all others as bare text."""
+    """A file with English documents as article lines, all others as bare text."""
     documents = tables.table(spark, sf, "documents")
     good = documents.where("lang = 'en'").select(F.col("doc_id").cast("string").alias("title"), "text")
     bad = documents.where("lang IS DISTINCT FROM 'en'").select(F.translate("text", "\r\n", "  ").alias("value"))
-    return article_lines(good).unionByName(bad)
+    return spark.read.text(_written_lines(article_lines(good).unionByName(bad), "articles"))
 
 
 def article_parse_permissive(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,10 +103,11 @@ def postings_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mixed_posting_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as posting lines; a pending order has no number for its score."""
+    """A file with orders as posting lines; a pending order has no number for its score."""
     orders = tables.table(spark, sf, "orders")
     score = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise("0")
-    return orders.select(F.concat_ws(",", F.lit("1"), "o_orderkey", F.lit(""), F.lit(""), score, "o_orderpriority").alias("value"))
+    lines = orders.select(F.concat_ws(",", F.lit("1"), "o_orderkey", F.lit(""), F.lit(""), score, "o_orderpriority").alias("value"))
+    return spark.read.text(_written_lines(lines, "postings"))
 
 
 def postings_parse_permissive(spark: SparkSession, sf: str) -> DataFrame:

@@ -15,11 +15,12 @@ def holds_or_fails(condition: Column, message: Column | str) -> Column:
     return F.when(condition, F.lit(True)).otherwise(F.raise_error(message))
 
 
-def present_or_fails(value: Column, message: str) -> Column:
-    """The value itself; the job fails where it is NULL and somebody uses it."""
-    return F.coalesce(value, F.raise_error(message))
+def present_or_fails(name: str) -> str:
+    """SQL for a column; the job fails where it is NULL and somebody uses it."""
+    message = f"missing value in column {name}".replace("\\", "\\\\").replace("'", "\\'")
+    return f"coalesce({quoted(name)}, raise_error('{message}')) AS {quoted(name)}"
 
 
 def quoted(name: str) -> str:
-    """Column name safe for ``F.col`` whatever characters it holds."""
+    """Column name safe in SQL and for ``F.col`` whatever characters it holds."""
     return "`" + name.replace("`", "``") + "`"

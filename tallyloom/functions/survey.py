@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import operator
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -45,7 +43,7 @@ def hours(names: Sequence[str]) -> Column:
     """Sum of minute columns in hours, added left to right for stable doubles."""
     if not names:
         raise ValueError("an activity class needs at least one column")
-    return functools.reduce(operator.add, [F.col(quoted(n)) for n in names]) / MINUTES_PER_HOUR
+    return F.expr(" + ".join(quoted(n) for n in names)) / MINUTES_PER_HOUR
 
 
 def working_status(telfs: Column) -> Column:

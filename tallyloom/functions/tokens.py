@@ -48,6 +48,11 @@ def tokens(text: Column) -> Column:
 def mentioned(text: Column, keywords: Sequence[str]) -> Column:
     """Array of the keywords found in ``text``, each at most once.
 
-    The text is split once whatever the number of keywords.
+    The text is split once whatever the number of keywords, and so is the
+    vocabulary: its split is folded into a constant. A keyword with a blank in
+    it is no token and never found.
     """
-    return F.array_intersect(tokens(text), F.array(*[F.lit(k) for k in keywords]))
+    vocabulary = " ".join(k for k in keywords if " " not in k)
+    if not vocabulary:
+        return F.array().cast("array<string>")
+    return F.array_intersect(tokens(text), tokens(F.lit(vocabulary)))

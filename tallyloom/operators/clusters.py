@@ -78,13 +78,13 @@ def weigh_points(vectors: DataFrame) -> DataFrame:
 
 def assign(points: DataFrame, means: Sequence[Point]) -> DataFrame:
     """Rows with the index of the nearest mean as ``cluster``; narrow."""
-    return points.withColumn("cluster", nearest_center(F.col("x"), F.col("y"), means))
+    return points.withColumn("cluster", nearest_center("x", "y", means))
 
 
 def average(points: DataFrame, means: Sequence[Point]) -> DataFrame:
     """Truncated integer mean ``(cluster, cx, cy)`` of each cluster that has points."""
     def mean(name: str):
-        return F.expr(f"sum(cast({name} AS bigint) * w) div sum(w)")
+        return F.expr(f"sum({name} * w) div sum(w)")
 
     return assign(points, means).groupBy("cluster").agg(mean("x").alias("cx"), mean("y").alias("cy"))
 
@@ -118,6 +118,8 @@ def move_means(points: DataFrame, means: Sequence[Point]) -> list[Point]:
     """Means after one iteration; an empty cluster keeps its old one."""
     moved = list(means)
     for row in average(points, means).collect():
+        if row.cluster < 0:
+            raise ValueError("a point has no coordinates")
         moved[row.cluster] = (row.cx, row.cy)
     return moved
 
@@ -193,6 +195,7 @@ def exact_median(points: DataFrame, group: str, value: str, weight: str) -> Data
         halves.join(buckets, [group, "upper"])
         .groupBy(group, "side", "rank", "upper", "lower")
         .agg(F.sum("weight").alias("weight"))
+        .repartition(group)
         .withColumn("before", F.sum("weight").over(ascending) - F.col("weight"))
         .where("before <= rank AND rank < before + weight")
     )

@@ -52,7 +52,7 @@ def read_articles(spark: SparkSession, path: str, strict: bool = True) -> DataFr
 def article_lines(articles: DataFrame) -> DataFrame:
     """Lines (column ``value``) that ``parse_articles`` reads back; line breaks become blanks."""
     def one_line(name: str) -> Column:
-        return F.translate(F.col(name), "\r\n", "  ")
+        return F.replace(F.replace(F.col(name), F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
 
     return articles.select(
         F.concat(

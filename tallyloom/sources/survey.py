@@ -48,11 +48,6 @@ def read_survey(
         quote="",
     )
     if check_whole_rows:
-        complete = F.lit(True)
-        for name in names:
-            complete = complete & F.col(quoted(name)).isNotNull()
+        complete = F.expr(" AND ".join(f"{quoted(name)} IS NOT NULL" for name in names))
         return names, rows.where(holds_or_fails(complete, "survey row with a missing cell"))
-    return names, rows.select(*[
-        present_or_fails(F.col(quoted(name)), f"missing cell in survey column {name}").alias(name)
-        for name in names
-    ])
+    return names, rows.selectExpr(*[present_or_fails(name) for name in names])
