@@ -48,7 +48,7 @@ def grouped_query(view: str = VIEW) -> str:
 
 def grouped_sql(summary: DataFrame, view: str = VIEW) -> DataFrame:
     """``grouped`` through SQL; leaves the summary registered as a temporary view."""
-    summary.createOrReplaceTempView(view)
+    summary.createOrReplaceTempView(quoted(view))
     return summary.sparkSession.sql(grouped_query(view))
 
 
