@@ -10,16 +10,11 @@ from pyspark.sql import functions as F
 Point = tuple[int, int]
 
 
-def nearest_center(x: str, y: str, centers: Sequence[Point]) -> Column:
-    """0-based index of the centre nearest to columns ``x`` and ``y``; the lowest index wins ties.
+def distances(x: str, y: str, centers: Sequence[Point]) -> Column:
+    """Array of the squared distances from columns ``x`` and ``y`` to each centre.
 
-    Distances are squared, and doubles, so that no difference of two ints
-    overflows. ``array_position`` finds the first distance equal to the minimum,
-    which is the tie rule. A point without coordinates gets -1.
-
-    The expression is narrow and compiled; a ``transform`` lambda over an array
-    of centres is not, and took 18 times as long for 45 of them. It is given as
-    text because k-means builds it anew in each iteration: as ``Column`` calls
+    Squares of doubles, so that no difference of two ints overflows. Given as
+    text because k-means builds this anew in each iteration: as ``Column`` calls
     that alone took a second for 45 centres.
     """
     if not centers:
@@ -29,8 +24,17 @@ def nearest_center(x: str, y: str, centers: Sequence[Point]) -> Column:
         difference = f"(cast({name} AS double) - ({float(at)!r}D))"
         return f"{difference} * {difference}"
 
-    distances = "array(" + ", ".join(f"{squared(x, cx)} + {squared(y, cy)}" for cx, cy in centers) + ")"
-    return F.expr(f"cast(coalesce(array_position({distances}, array_min({distances})), 0) - 1 AS int)")
+    return F.expr("array(" + ", ".join(f"{squared(x, cx)} + {squared(y, cy)}" for cx, cy in centers) + ")")
+
+
+def nearest(distances_column: str) -> Column:
+    """0-based index of the least distance; the lowest index wins ties, and no distance gives -1.
+
+    The first element equal to the minimum is that tie rule. Compiled, unlike a
+    ``transform`` lambda over the centres, which took 18 times as long for 45.
+    """
+    first = F.array_position(distances_column, F.array_min(distances_column))
+    return (F.coalesce(first, F.lit(0)) - 1).cast("int")
 
 
 def total_movement(before: Sequence[Point], after: Sequence[Point]) -> float:

@@ -15,14 +15,15 @@ def bounded_bags(
     keys: Sequence[str],
     items: Sequence[str],
     name: str,
+    sizes: DataFrame,
     bag_size: int = BAG_SIZE,
 ) -> DataFrame:
     """Collect ``items`` per ``keys`` into arrays of about ``bag_size`` structs.
 
-    Gives ``(keys..., bag, n, name)`` where ``name`` is an array of
+    ``sizes`` holds the number of rows ``n`` per ``keys``. Gives ``(keys..., bag, n, name)`` where ``name`` is an array of
     ``struct(items..., copies)`` and ``n`` the number of rows it stands for.
     Equal rows are counted before anything is collected, so that a crowd of
-    copies is one struct; a key with more distinct rows than ``bag_size`` is
+    copies is one struct; a key with more rows than ``bag_size`` is
     spread over several bags by a hash of the row. The hash depends on the row
     alone, hence a task that is run again puts it into the same bag.
 
@@ -32,11 +33,9 @@ def bounded_bags(
     if bag_size < 1:
         raise ValueError("bag_size must be positive")
     counted = rows.groupBy(*keys, *items).agg(F.count(F.lit(1)).alias("copies"))
-    sizes = rows.groupBy(*keys).agg(
-        F.expr(f"(count(*) + {bag_size - 1}) div {bag_size}").alias("bags")
-    )
+    bags = sizes.select(*keys, F.expr(f"(n + {bag_size - 1}) div {bag_size}").alias("bags"))
     return (
-        counted.join(sizes, list(keys))
+        counted.join(bags, list(keys))
         .withColumn("bag", F.pmod(F.xxhash64(*items), "bags"))
         .repartition(*keys, "bag")
         .groupBy(*keys, "bag")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tallyloom.functions.geometry import Point, nearest_center, total_movement
+from tallyloom.functions.geometry import Point, distances, nearest, total_movement
 from tallyloom.functions.tokens import LANGUAGES
 from tallyloom.operators.postings import SPREAD
 from tallyloom.operators.sampling import SEED, exact_sample, stratified_sample
@@ -78,7 +78,11 @@ def weigh_points(vectors: DataFrame) -> DataFrame:
 
 def assign(points: DataFrame, means: Sequence[Point]) -> DataFrame:
     """Rows with the index of the nearest mean as ``cluster``; narrow."""
-    return points.withColumn("cluster", nearest_center("x", "y", means))
+    return (
+        points.withColumn("distances", distances("x", "y", means))
+        .withColumn("cluster", nearest("distances"))
+        .drop("distances")
+    )
 
 
 def average(points: DataFrame, means: Sequence[Point]) -> DataFrame:

@@ -70,7 +70,8 @@ def bag_index(
     index: DataFrame, columns: Sequence[str] = ("title", "text"), bag_size: int = BAG_SIZE
 ) -> DataFrame:
     """Inverted index in nested form: ``(keyword, bag, n, articles)`` with bounded arrays."""
-    return bounded_bags(index, ["keyword"], columns, "articles", bag_size)
+    sizes = index.groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
+    return bounded_bags(index, ["keyword"], columns, "articles", sizes, bag_size)
 
 
 def rank_by_count(articles: DataFrame, vocabulary: Sequence[str]) -> DataFrame:

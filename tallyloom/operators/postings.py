@@ -66,8 +66,16 @@ def pair_postings(postings: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def group_postings(postings: DataFrame, bag_size: int = BAG_SIZE, strict: bool = True) -> DataFrame:
-    """Pairs nested per question: ``(qid, bag, n, pairs)`` with bounded arrays."""
-    return bounded_bags(pair_postings(postings, strict), ["qid"], ["question", "answer"], "pairs", bag_size)
+    """Pairs nested per question: ``(qid, bag, n, pairs)`` with bounded arrays.
+
+    The number of pairs follows from the numbers of questions and answers, so
+    the pairs are made once.
+    """
+    questions = questions_of(postings).groupBy(F.col("id").alias("qid")).agg(F.count(F.lit(1)).alias("questions"))
+    answers = answers_of(postings, strict).groupBy(F.col("key").alias("qid")).agg(F.count(F.lit(1)).alias("answers"))
+    sizes = questions.join(answers, "qid").select("qid", (F.col("questions") * F.col("answers")).alias("n"))
+    pairs = pair_postings(postings, strict)
+    return bounded_bags(pairs, ["qid"], ["question", "answer"], "pairs", sizes, bag_size)
 
 
 def ungroup_postings(grouped: DataFrame) -> DataFrame:

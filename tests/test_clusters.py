@@ -5,7 +5,7 @@ import pytest
 from conftest import plan, tuples
 from pyspark.sql import functions as F
 
-from tallyloom.functions.geometry import nearest_center, total_movement
+from tallyloom.functions.geometry import distances, total_movement
 from tallyloom.operators import clusters, sampling
 from tallyloom.plans import flows
 
@@ -23,7 +23,7 @@ def points(spark, rows):
 
 def nearest(spark, x, y, centers):
     df = spark.createDataFrame([(x, y)], "x int, y int")
-    return df.select(nearest_center("x", "y", centers)).first()[0]
+    return clusters.assign(df, centers).first().cluster
 
 
 def random_vectors(n, seed=1):
@@ -51,7 +51,7 @@ def test_ties_go_to_the_lowest_index(spark):
     assert nearest(spark, -(2**31), 0, [(2**31 - 1, 0), (0, 0)]) == 1
     assert nearest(spark, None, None, [(0, 0)]) == -1
     with pytest.raises(ValueError):
-        nearest_center("x", "y", [])
+        distances("x", "y", [])
 
 
 def test_nearest_center_agrees_with_brute_force(spark):
