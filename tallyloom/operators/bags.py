@@ -1,46 +1,42 @@
-"""Nested groups whose size stays bounded however hot a key is."""
+"""Nested groups ("bags") whose size stays bounded however hot a key is.
 
-from __future__ import annotations
+Equal rows are counted before anything is collected, so a crowd of copies is
+one struct with its number of ``copies``. A key with more rows than the bag size
+is spread over several bags by a hash of the row. The hash depends on the row
+alone, hence a task that is run again puts it into the same bag.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BAG_SIZE = 10_000
+# Longest array made to number the bags of one key.
+BLOCK = 4096
+
+
+def with_copies(rows: DataFrame) -> DataFrame:
+    """Distinct rows, and how often each occurs; combined before the shuffle."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def bounded_bags(
-    rows: DataFrame,
-    keys: Sequence[str],
-    items: Sequence[str],
-    name: str,
-    sizes: DataFrame,
-    bag_size: int = BAG_SIZE,
-) -> DataFrame:
-    """Collect ``items`` per ``keys`` into arrays of about ``bag_size`` structs.
-
-    ``sizes`` holds the number of rows ``n`` per ``keys``. Gives ``(keys..., bag, n, name)`` where ``name`` is an array of
-    ``struct(items..., copies)`` and ``n`` the number of rows it stands for.
-    Equal rows are counted before anything is collected, so that a crowd of
-    copies is one struct; a key with more rows than ``bag_size`` is
-    spread over several bags by a hash of the row. The hash depends on the row
-    alone, hence a task that is run again puts it into the same bag.
-
-    The last shuffle is spelled out: otherwise the one of the join would serve
-    for grouping too, and Spark could no longer split a hot key there.
-    """
+def bags_for(rows: Column, bag_size: int) -> Column:
+    """Number of bags that so many rows of a key fill."""
     if bag_size < 1:
         raise ValueError("bag_size must be positive")
-    counted = rows.groupBy(*keys, *items).agg(F.count(F.lit(1)).alias("copies"))
-    bags = sizes.select(*keys, F.expr(f"(n + {bag_size - 1}) div {bag_size}").alias("bags"))
+    return F.ceil(rows / bag_size).cast("bigint")
+
+
+def bag_of(item: Column, bags: str) -> Column:
+    return F.pmod(F.xxhash64(item), bags)
+
+
+def in_every_bag(rows: DataFrame, bags: str, name: str) -> DataFrame:
+    """Each row once per bag of its key, numbered from 0; in blocks, as there may be millions."""
+    first = F.col("block") * BLOCK
     return (
-        counted.join(bags, list(keys))
-        .withColumn("bag", F.pmod(F.xxhash64(*items), "bags"))
-        .repartition(*keys, "bag")
-        .groupBy(*keys, "bag")
-        .agg(
-            F.sum("copies").alias("n"),
-            F.collect_list(F.struct(*items, "copies")).alias(name),
-        )
+        rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col(bags) - 1) / BLOCK))))
+        .withColumn(name, F.explode(F.sequence(first, F.least(F.col(bags), first + BLOCK) - 1)))
+        .drop("block")
     )

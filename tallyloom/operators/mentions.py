@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.tokens import checked_vocabulary, mentioned, mentions, tokens
-from tallyloom.operators.bags import BAG_SIZE, bounded_bags
+from tallyloom.operators.bags import BAG_SIZE, bag_of, bags_for, with_copies
+from tallyloom.operators.skew import shuffled_for_join
 
 # Above this, comparing every article with the whole vocabulary costs more than a join.
 LITERAL_VOCABULARY = 500
@@ -69,9 +70,21 @@ def _broadcastable(keywords: list[str]) -> Iterator[list[str]]:
 def bag_index(
     index: DataFrame, columns: Sequence[str] = ("title", "text"), bag_size: int = BAG_SIZE
 ) -> DataFrame:
-    """Inverted index in nested form: ``(keyword, bag, n, articles)`` with bounded arrays."""
-    sizes = index.groupBy("keyword").agg(F.count(F.lit(1)).alias("n"))
-    return bounded_bags(index, ["keyword"], columns, "articles", sizes, bag_size)
+    """Inverted index in nested form: ``(keyword, bag, n, articles)`` with bounded arrays.
+
+    ``articles`` holds ``struct(columns..., copies)`` and stands for ``n`` rows.
+    The last shuffle is spelled out: otherwise that of the join would serve for
+    grouping too, and Spark could not split a hot keyword there.
+    """
+    bags = index.groupBy("keyword").agg(bags_for(F.count(F.lit(1)), bag_size).alias("bags"))
+    return (
+        with_copies(index.select("keyword", *columns))
+        .join(shuffled_for_join(bags), "keyword")
+        .withColumn("bag", bag_of(F.struct(*columns), "bags"))
+        .repartition("keyword", "bag")
+        .groupBy("keyword", "bag")
+        .agg(F.sum("copies").alias("n"), F.collect_list(F.struct(*columns, "copies")).alias("articles"))
+    )
 
 
 def rank_by_count(articles: DataFrame, vocabulary: Sequence[str]) -> DataFrame:

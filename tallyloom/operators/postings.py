@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.postings import ANSWER, QUESTION, language_position, posting_key
 from tallyloom.functions.tokens import LANGUAGES
-from tallyloom.operators.bags import BAG_SIZE, bounded_bags
+from tallyloom.operators.bags import BAG_SIZE, bag_of, bags_for, in_every_bag, with_copies
+from tallyloom.operators.skew import shuffled_for_join
 from tallyloom.sources.postings import SCHEMA
 
 COLUMNS = SCHEMA.fieldNames()
@@ -55,27 +56,67 @@ def _posting(side: str = "") -> Column:
     return F.struct(*[F.col(side + name).alias(name) for name in COLUMNS])
 
 
+def _sides(postings: DataFrame, strict: bool) -> tuple[DataFrame, DataFrame]:
+    """Questions and answers as ``(qid, question)`` and ``(qid, answer)`` structs."""
+    return (
+        questions_of(postings).select(F.col("id").alias("qid"), _posting().alias("question")),
+        answers_of(postings, strict).select(F.col("key").alias("qid"), _posting().alias("answer")),
+    )
+
+
 def pair_postings(postings: DataFrame, strict: bool = True) -> DataFrame:
     """Every question with every answer to it: ``(qid, question, answer)`` structs.
 
     Unanswered questions and answers to unknown questions drop out.
     """
-    questions = questions_of(postings).select(F.col("id").alias("qid"), _posting().alias("question"))
-    answers = answers_of(postings, strict).select(F.col("key").alias("qid"), _posting().alias("answer"))
+    questions, answers = _sides(postings, strict)
     return questions.join(answers, "qid")
 
 
 def group_postings(postings: DataFrame, bag_size: int = BAG_SIZE, strict: bool = True) -> DataFrame:
     """Pairs nested per question: ``(qid, bag, n, pairs)`` with bounded arrays.
 
-    The number of pairs follows from the numbers of questions and answers, so
-    the pairs are made once.
+    ``pairs`` holds ``struct(question, answer, copies)`` and stands for ``n``
+    pairs. A salted join: the answers of a question are dealt out to its bags,
+    and the question goes into each of them. (The other way round as well, for
+    an id that very many different questions share.) So the pairs are made where
+    they are collected, and those of a hot question in many tasks.
     """
-    questions = questions_of(postings).groupBy(F.col("id").alias("qid")).agg(F.count(F.lit(1)).alias("questions"))
-    answers = answers_of(postings, strict).groupBy(F.col("key").alias("qid")).agg(F.count(F.lit(1)).alias("answers"))
-    sizes = questions.join(answers, "qid").select("qid", (F.col("questions") * F.col("answers")).alias("n"))
-    pairs = pair_postings(postings, strict)
-    return bounded_bags(pairs, ["qid"], ["question", "answer"], "pairs", sizes, bag_size)
+    questions, answers = _sides(postings, strict)
+    asked, answered = F.col("asked"), F.col("answered")
+    per_bag = F.least(asked, F.lit(bag_size))
+    bags = (
+        questions.groupBy("qid").agg(F.count(F.lit(1)).alias("asked"))
+        .join(answers.groupBy("qid").agg(F.count(F.lit(1)).alias("answered")), "qid")
+        .select(
+            "qid",
+            bags_for(asked, bag_size).alias("question_bags"),
+            bags_for(answered * per_bag, bag_size).alias("answer_bags"),
+        )
+    )
+    bags = shuffled_for_join(bags)
+    dealt_questions = in_every_bag(
+        with_copies(questions).withColumnRenamed("copies", "question_copies").join(bags, "qid")
+        .withColumn("question_bag", bag_of(F.col("question"), "question_bags")),
+        "answer_bags", "answer_bag",
+    ).drop("question_bags", "answer_bags")
+    dealt_answers = in_every_bag(
+        with_copies(answers).withColumnRenamed("copies", "answer_copies").join(bags, "qid")
+        .withColumn("answer_bag", bag_of(F.col("answer"), "answer_bags")),
+        "question_bags", "question_bag",
+    )
+    copies = F.col("question_copies") * F.col("answer_copies")
+    key = ["qid", "question_bag", "answer_bag"]
+    return (
+        dealt_questions.join(dealt_answers, key)
+        .groupBy(*key)
+        .agg(
+            F.first(F.col("question_bag") * F.col("answer_bags") + F.col("answer_bag")).alias("bag"),
+            F.sum(copies).alias("n"),
+            F.collect_list(F.struct("question", "answer", copies.alias("copies"))).alias("pairs"),
+        )
+        .drop("question_bag", "answer_bag")
+    )
 
 
 def ungroup_postings(grouped: DataFrame) -> DataFrame:
@@ -96,7 +137,7 @@ def score_postings(postings: DataFrame, strict: bool = True) -> DataFrame:
     answers costs each task one row. The pairs are never built.
     """
     questions = questions_of(postings).distinct()
-    best = answers_of(postings, strict).groupBy("key").agg(_high_score("score"))
+    best = shuffled_for_join(answers_of(postings, strict).groupBy("key").agg(_high_score("score")))
     return questions.join(best, questions.id == best.key).select(*COLUMNS, "high_score")
 
 

@@ -1,6 +1,5 @@
 import pytest
-from conftest import tuples
-from pyspark.errors import PySparkException
+from conftest import JOB_FAILS, tuples
 
 from tallyloom.sources.articles import article_lines, article_rejects, parse_articles, read_articles
 
@@ -22,12 +21,12 @@ def test_title_and_text_are_cut_out(spark):
 
 @pytest.mark.parametrize("bad", [*BAD, None])
 def test_malformed_line_fails_the_job(spark, bad):
-    with pytest.raises(PySparkException):
+    with pytest.raises(JOB_FAILS):
         parse_articles(lines(spark, [GOOD, bad])).select("title").collect()
 
 
 def test_malformed_line_fails_even_a_count(spark):
-    with pytest.raises(PySparkException):
+    with pytest.raises(JOB_FAILS):
         parse_articles(lines(spark, [GOOD, BAD[0]])).count()
 
 

@@ -1,9 +1,7 @@
 import random
 
 import pytest
-from conftest import plan, tuples
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from conftest import JOB_FAILS, plan, tuples
 from pyspark.sql import types as T
 
 from tallyloom.functions.survey import classify_columns, hours
@@ -11,9 +9,6 @@ from tallyloom.operators import survey
 from tallyloom.plans import flows
 from tallyloom.sources.survey import header_names, read_survey, survey_schema
 
-# A failed task comes as the latter when Spark has no Python class for its cause.
-JOB_FAILS = (PySparkException, Py4JJavaError)
-
 CSV = """\
 id,telfs,tesex,teage,t010101,t020101,t050101,t170101,t180101,t180201,t180501
 a,1,1,22,60,30,120,999,60,30,60
