@@ -36,7 +36,8 @@ def read_survey(
     Every file has its own header, which must name the same columns. A cell that
     is missing or no number fails the job. By default a cell is checked when its
     column is used, so that unused columns are not even parsed; with
-    ``check_whole_rows`` every row is checked whatever columns are used.
+    ``check_whole_rows`` every row is checked whatever columns are used. The
+    first column is text and may be empty.
     """
     names = header_names(spark, path)
     rows = spark.read.csv(
@@ -47,7 +48,10 @@ def read_survey(
         mode="FAILFAST",
         quote="",
     )
-    if check_whole_rows:
-        complete = F.expr(" AND ".join(f"{quoted(name)} IS NOT NULL" for name in names))
-        return names, rows.where(holds_or_fails(complete, "survey row with a missing cell"))
-    return names, rows.selectExpr(*[present_or_fails(name) for name in names])
+    head, *numbers = names
+    if check_whole_rows and numbers:
+        complete = F.expr(" AND ".join(f"{quoted(name)} IS NOT NULL" for name in numbers))
+        rows = rows.where(holds_or_fails(complete, "survey row with a missing cell"))
+    return names, rows.selectExpr(
+        f"coalesce({quoted(head)}, '') AS {quoted(head)}", *[present_or_fails(name) for name in numbers]
+    )
