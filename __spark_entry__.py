@@ -276,7 +276,7 @@ def _list(values) -> str:
 UNROLLED = 25
 
 _ONE_LINE = r"regexp_replace(text, '[\r\n]', ' ', 'g')"
-_ARTICLES = f"articles AS (SELECT CAST(doc_id AS VARCHAR) AS title, text FROM documents)"
+_ARTICLES = "articles AS (SELECT CAST(doc_id AS VARCHAR) AS title, text FROM documents)"
 _WORDS = "words AS (SELECT * FROM (VALUES " + ", ".join(f"({_text(k)}, {i})" for i, k in enumerate(VOCABULARY)) + ") v(keyword, position))"
 _HITS = f"""{_ARTICLES}, {_WORDS},
 hits AS (SELECT keyword, title, text FROM words JOIN articles ON list_contains(string_split(text, ' '), keyword))"""

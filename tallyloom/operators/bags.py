@@ -21,6 +21,15 @@ def with_copies(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
+def distinct_rows() -> Column:
+    """Aggregate: the number of rows of ``with_copies`` in a group.
+
+    By way of ``copies``, so that Spark needs that column here as well as where
+    the rows are collected, and uses one shuffle of them for both.
+    """
+    return F.sum(F.least("copies", F.lit(1)))
+
+
 def bags_for(rows: Column, bag_size: int) -> Column:
     """Number of bags that so many rows of a key fill."""
     if bag_size < 1:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.tokens import checked_vocabulary, mentioned, mentions, tokens
-from tallyloom.operators.bags import BAG_SIZE, bag_of, bags_for, with_copies
+from tallyloom.operators.bags import BAG_SIZE, bag_of, bags_for, distinct_rows, with_copies
 from tallyloom.operators.skew import shuffled_for_join
 
 # Above this, comparing every article with the whole vocabulary costs more than a join.
@@ -76,10 +76,10 @@ def bag_index(
     The last shuffle is spelled out: otherwise that of the join would serve for
     grouping too, and Spark could not split a hot keyword there.
     """
-    bags = index.groupBy("keyword").agg(bags_for(F.count(F.lit(1)), bag_size).alias("bags"))
+    counted = with_copies(index.select("keyword", *columns))
+    bags = counted.groupBy("keyword").agg(bags_for(distinct_rows(), bag_size).alias("bags"))
     return (
-        with_copies(index.select("keyword", *columns))
-        .join(shuffled_for_join(bags), "keyword")
+        counted.join(shuffled_for_join(bags), "keyword")
         .withColumn("bag", bag_of(F.struct(*columns), "bags"))
         .repartition("keyword", "bag")
         .groupBy("keyword", "bag")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.postings import ANSWER, QUESTION, language_position, posting_key
 from tallyloom.functions.tokens import LANGUAGES
-from tallyloom.operators.bags import BAG_SIZE, bag_of, bags_for, in_every_bag, with_copies
+from tallyloom.operators.bags import (
+    BAG_SIZE, bag_of, bags_for, distinct_rows, in_every_bag, with_copies,
+)
 from tallyloom.operators.skew import shuffled_for_join
 from tallyloom.sources.postings import SCHEMA
 
@@ -82,12 +84,12 @@ def group_postings(postings: DataFrame, bag_size: int = BAG_SIZE, strict: bool =
     an id that very many different questions share.) So the pairs are made where
     they are collected, and those of a hot question in many tasks.
     """
-    questions, answers = _sides(postings, strict)
+    questions, answers = (with_copies(side) for side in _sides(postings, strict))
     asked, answered = F.col("asked"), F.col("answered")
     per_bag = F.least(asked, F.lit(bag_size))
     bags = (
-        questions.groupBy("qid").agg(F.count(F.lit(1)).alias("asked"))
-        .join(answers.groupBy("qid").agg(F.count(F.lit(1)).alias("answered")), "qid")
+        questions.groupBy("qid").agg(distinct_rows().alias("asked"))
+        .join(answers.groupBy("qid").agg(distinct_rows().alias("answered")), "qid")
         .select(
             "qid",
             bags_for(asked, bag_size).alias("question_bags"),
@@ -96,12 +98,12 @@ def group_postings(postings: DataFrame, bag_size: int = BAG_SIZE, strict: bool =
     )
     bags = shuffled_for_join(bags)
     dealt_questions = in_every_bag(
-        with_copies(questions).withColumnRenamed("copies", "question_copies").join(bags, "qid")
+        questions.withColumnRenamed("copies", "question_copies").join(bags, "qid")
         .withColumn("question_bag", bag_of(F.col("question"), "question_bags")),
         "answer_bags", "answer_bag",
     ).drop("question_bags", "answer_bags")
     dealt_answers = in_every_bag(
-        with_copies(answers).withColumnRenamed("copies", "answer_copies").join(bags, "qid")
+        answers.withColumnRenamed("copies", "answer_copies").join(bags, "qid")
         .withColumn("answer_bag", bag_of(F.col("answer"), "answer_bags")),
         "question_bags", "question_bag",
     )

@@ -60,6 +60,15 @@ def test_grouping_splits_the_hot_question_and_keeps_every_pair(skewed):
     assert rows[0] == 6000 and rows[1] < 200 and rows[2] > 20
 
 
+def test_copies_of_a_question_make_no_further_bags(skewed):
+    copied = skewed.unionByName(skewed.where("posting_type = 1").withColumn("id", F.lit(7).cast("bigint")))
+    df = postings.group_postings(copied, bag_size=100)
+    text = final_plan(df)
+    assert "skew=true" in text and text.count("ReusedExchange") >= 2
+    hot = df.where("qid = 7").agg(F.sum("n"), F.count("bag"), F.max(F.size("pairs")), F.sum(F.size("pairs"))).first()
+    assert hot[0] == 3001 * 3001 and 20 < hot[1] <= 31 and hot[2] < 200 and hot[3] == 3001
+
+
 def test_scoring_shuffles_one_row_per_question(skewed):
     df = postings.score_postings(skewed)
     text = final_plan(df)
@@ -80,7 +89,8 @@ def test_bags_of_a_hot_keyword(spark, skewed):
     texts = spark.range(0, 3000, 1, 6).select(F.col("id").cast("string").alias("title"), F.concat_ws(" ", F.lit("the"), F.col("id"), F.when(F.col("id") % 3 == 0, "la")).alias("text"))
     index = mentions.index_articles(texts, ["the", "la", "zzz"])
     bags = mentions.bag_index(index, bag_size=100)
-    assert "skew=true" in final_plan(bags)
+    text = final_plan(bags)
+    assert "skew=true" in text and "ReusedExchange" in text
     rows = bags.groupBy("keyword").agg(F.sum("n"), F.max(F.size("articles")), F.count("bag")).collect()
     assert {r[0]: r[1] for r in rows} == {"the": 3000, "la": 1000}
     assert all(r[2] < 200 for r in rows) and all(r[3] >= r[1] / 100 for r in rows)
