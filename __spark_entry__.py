@@ -244,7 +244,23 @@ def survey_from_files(spark: SparkSession, sf: str) -> DataFrame:
     return flows.average_time_use(spark, path).grouped
 
 
+def _llm():
+    """The queries of the subpackage ``llm``, or None where it is not installed."""
+    try:
+        import tallyloom.llm.queries as found
+    except ImportError as error:
+        if error.name not in ("tallyloom.llm", "tallyloom.llm.queries", "corpus_pipeline"):
+            raise
+        return None
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    more = _llm()
+    return _own_queries() | (more.queries() if more else {})
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
         article_parse, article_parse_permissive, article_parse_rejects,
         mention_occurrences, mention_index, mention_index_bags,
@@ -370,6 +386,11 @@ FROM summed GROUP BY working, sex, age ORDER BY working, sex, age"""
 
 
 def oracle_sql() -> dict[str, str]:
+    more = _llm()
+    return _own_sql() | (more.oracle_sql() if more else {})
+
+
+def _own_sql() -> dict[str, str]:
     scored = f"WITH {_SCORED} SELECT * FROM scored"
     side = {name: ", ".join(f"{name[0]}.{c} AS {name}_{c}" for c in postings.COLUMNS) for name in ("question", "answer")}
     return {

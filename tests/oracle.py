@@ -49,7 +49,7 @@ if __name__ == "__main__":
 
     folder = sys.argv[1] if len(sys.argv) > 1 else str(TESTDATA / "sf0.01")
     spark, con, sqls = session(), connect(folder), entry.oracle_sql()
-    wanted = sys.argv[2:] or list(entry.queries())
+    wanted = sys.argv[2:] or list(sqls)
     for name in wanted:
         start = time.time()
         problems = differences(spark, con, name, entry.queries()[name], sqls[name], folder)

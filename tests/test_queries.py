@@ -12,12 +12,12 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry._own_queries()) == set(entry._own_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry._own_queries()))
 def test_query_equals_its_sql(spark, con, name):
-    assert differences(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], FOLDER) == []
+    assert differences(spark, con, name, entry._own_queries()[name], entry._own_sql()[name], FOLDER) == []
 
 
 def test_flagship_query(spark):
