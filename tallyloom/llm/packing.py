@@ -10,8 +10,10 @@ the rank of a piece among those of its length gives its sequence and offset.
 
 from __future__ import annotations
 
-import re
+import base64
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,43 +29,37 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: A pattern program stops at this relative distance from its lower bound.
 GAP = 1e-3
 MOST_COLUMNS = 800
-_CACHED = 400_000
 #: Rows of one length that are ranked in one group.
 _RANKED = 50_000
-_ODD = re.compile(r"\s | \s|\A | \Z")
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Encoder:
-    """Ids of whole texts, as bytes, by way of their blank-separated chunks.
+    """Ids of whole texts, as bytes: little-endian unsigned 32-bit integers.
 
-    A byte-level pre-tokeniser never joins what a single blank between two
-    characters separates, so a chunk with its blank is encoded once per task.
+    The ranks hold the vocabulary of the tokenizer file and give the same ids
+    several times faster; texts with one of its added tokens, which ranks do not
+    know, go through the tokenizer itself.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, tokenizer_path: str, ranks_path: str, pattern: str) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(ranks_path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def _learn(self, chunks: list[str]) -> None:
-        for chunk, found in zip(chunks, self.tokenizer.encode_batch(chunks, add_special_tokens=False)):
-            self.known[chunk] = np.array(found.ids, "<u4").tobytes()
-
-    def encode(self, several: list[str]) -> list[bytes]:
-        if len(self.known) > _CACHED:
-            self.known.clear()
-        split = []
-        for text in several:
-            chunks = _SAFE.split(text) if _ODD.search(text) else text.split(" ")
-            first, rest = chunks[0], chunks[1:]
-            split.append([first, *[" " + c for c in rest]])
-        known = self.known
-        missing = {c for chunks in split for c in chunks if c not in known}
-        if missing:
-            self._learn(list(missing))
-        return [b"".join([known[c] for c in chunks]) for chunks in split]
+    def encode(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            found = self.fast(text)
+        ids = array("I", found)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -75,23 +71,22 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
     return list(zip([0, *ends], ends))
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): each document, with its end id, as ``cuts`` has it."""
 
     def make():
-        encoder = Encoder(tokenizer_path)
+        encoder = Encoder(tokenizer_path, ranks_path, pattern)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids, several = batch.column("doc_id").to_pylist(), texts(batch)
             out: list[list] = [[], [], [], [], []]
-            for begin in range(0, len(several), 64):
-                for doc_id, data in zip(ids[begin:], encoder.encode(several[begin : begin + 64])):
-                    data += END.to_bytes(4, "little")
-                    n = len(data) // 4
-                    for start, end in cuts(n, capacity):
-                        piece = data[4 * start : 4 * end]
-                        for column, value in zip(out, (doc_id, start, len(piece) // 4, zlib.crc32(piece), n)):
-                            column.append(value)
+            for doc_id, text in zip(ids, several):
+                data = encoder.encode(text) + END.to_bytes(4, "little")
+                n = len(data) // 4
+                for start, end in cuts(n, capacity):
+                    piece = data[4 * start : 4 * end]
+                    for column, value in zip(out, (doc_id, start, end - start, zlib.crc32(piece), n)):
+                        column.append(value)
             names = [c.split()[0] for c in PIECES.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
 
@@ -262,15 +257,18 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return numbered.join(before, ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("place"))
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: the columns of ``PIECES`` with ``sequence_id`` and ``offset``.
 
+    ``tokenizer_path`` is a byte-level tokenizer file, ``ranks_path`` the same
+    vocabulary as ranks, ``pattern`` how it splits text.
+
     * A null or empty text is a piece of the end id alone; null ids are allowed.
     * Repeated rows are packed as often as they occur.
     * A sequence holds whole pieces one after the other; only its end is padding.
     * Other columns are not looked at. An empty table gives no rows.
     """
-    rows = materialize(pieces(docs, tokenizer_path, capacity), "pieces")
+    rows = materialize(pieces(docs, tokenizer_path, ranks_path, pattern, capacity), "pieces")
     histogram = {int(r["length"]): int(r["count"]) for r in rows.groupBy("length").count().collect()}
     slots = _slots(whole_patterns(histogram, capacity))
 

@@ -39,7 +39,8 @@ def op9_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    files = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
+    return packing.pack(table(spark, sf, "documents"), *files, public_tokenizers.PATTERN)
 
 
 def queries() -> dict:
