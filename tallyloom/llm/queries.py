@@ -5,19 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, exact_dedup, packing
-from tallyloom.llm.common import text_of
+from tallyloom.llm import chat, exact_dedup, language, packing, quality, toxicity
+from tallyloom.llm.common import id_remainder, text_of
 from tallyloom.sources.tables import table
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text").withColumn("held_out", id_remainder(5) == 0)
+    model = toxicity.fit_toxicity(docs.where("NOT held_out"), table(spark, sf, "labels").where(id_remainder(5) != 0))
+    tagged = toxicity.tag_toxic(docs, model, keep=["doc_id", "held_out"])
+    return tagged.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text").withColumn("held_out", id_remainder(5) == 0)
+    model = quality.fit_quality(docs.where("NOT held_out"), table(spark, sf, "labels").where(id_remainder(5) != 0))
+    scored = quality.score_quality(docs, model, keep=["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     docs = docs.withColumn("text_sha256", F.sha2(text_of(), 256))
     return exact_dedup.mark_copies(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang").withColumn("held_out", id_remainder(4) == 2)
+    model = language.fit_language(docs.where("NOT held_out"))
+    return language.identify(docs, model, keep=["doc_id", "held_out"])
+
+
 def op9_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.range(2).select(
@@ -44,7 +64,7 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op5_exact_dedup, op9_chat_format, op10_packing)}
+    return {q.__name__: q for q in (op2_toxicity, op3_quality, op5_exact_dedup, op8_language, op9_chat_format, op10_packing)}
 
 
 _OP5 = """
