@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, exact_dedup, language, packing, quality, toxicity
+from tallyloom.llm import chat, exact_dedup, language, packing, pii, quality, toxicity
 from tallyloom.llm.common import id_remainder, text_of
 from tallyloom.sources.tables import table
 
@@ -32,6 +32,21 @@ def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark_copies(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.fit_pii(docs), keep=["doc_id"])
+    base = F.filter("pii", lambda s: s["base"])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
+    ]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+
+
 def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang").withColumn("held_out", id_remainder(4) == 2)
     model = language.fit_language(docs.where("NOT held_out"))
@@ -64,7 +79,7 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op2_toxicity, op3_quality, op5_exact_dedup, op8_language, op9_chat_format, op10_packing)}
+    return {q.__name__: q for q in (op2_toxicity, op3_quality, op5_exact_dedup, op7_pii, op8_language, op9_chat_format, op10_packing)}
 
 
 _OP5 = """
