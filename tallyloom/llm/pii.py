@@ -23,7 +23,8 @@ from tallyloom.llm.common import map_batches, sampled_texts, sigmoid, text_of
 KINDS = ("email", "ip", "card", "phone")
 #: Documents, and candidates of them, that the trees are fitted on.
 DOCUMENTS, CANDIDATES = 8000, 40_000
-#: Lower bound of the precision (Wilson, 95 %) that a threshold must reach on held-out candidates.
+#: Least calibrated probability of an addition, and lower bound (Wilson, 95 %) of the precision of all
+#: held-out candidates above a kind's threshold; kinds that don't reach it add nothing.
 PRECISION = 0.9
 TREES, DEPTH, RATE, BINS = 40, 3, 0.3, 32
 
@@ -205,7 +206,7 @@ def fit(rows: np.ndarray, labels: np.ndarray) -> Trees | None:
         low = (share + 1.92 / n - 1.96 * np.sqrt(share * (1 - share) / n + 0.96 / n**2)) / (1 + 3.84 / n)
         good = np.nonzero(low >= PRECISION)[0]
         if len(good):
-            model.thresholds[kind] = float(p[own][order][good[-1]])
+            model.thresholds[kind] = max(float(p[own][order][good[-1]]), PRECISION)
     return model
 
 
