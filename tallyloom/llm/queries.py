@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, exact_dedup, language, packing, pii, quality, toxicity
+from tallyloom.llm import chat, exact_dedup, jaccard_join, language, packing, pii, quality, toxicity
 from tallyloom.llm.common import id_remainder, text_of
 from tallyloom.sources.tables import table
 
@@ -26,6 +26,10 @@ def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     docs = docs.withColumn("text_sha256", F.sha2(text_of(), 256))
@@ -79,8 +83,22 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op2_toxicity, op3_quality, op5_exact_dedup, op7_pii, op8_language, op9_chat_format, op10_packing)}
-
+    return {q.__name__: q for q in (op2_toxicity, op3_quality, op4_jaccard_join, op5_exact_dedup, op7_pii, op8_language, op9_chat_format, op10_packing)}
+
+
+_OP4 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE [array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * common >= 75 * (p.n + q.n - common)),
+reach AS (SELECT x AS doc_id, x AS y FROM (SELECT DISTINCT x FROM links) UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.y),
+least AS (SELECT doc_id, min(y) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(least.component_id, w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)"""
 
 _OP5 = """
 WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
@@ -103,4 +121,4 @@ FROM r GROUP BY conv_id"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": _OP5, "op9_chat_format": _OP9}
+    return {"op4_jaccard_join": _OP4, "op5_exact_dedup": _OP5, "op9_chat_format": _OP9}
