@@ -11,10 +11,13 @@ shingles, where H is 1, are one segment, looked up by itself and its one-deletio
 neighbourhood. Segments are as coarse as leaves every set of a band H + 1 of them,
 which is counted over all documents; small sets go down to single shingles.
 
-What meets in a segment is first compared with one pivot per segment; then only
-across the components that this gives, so groups of copies cost as many
-comparisons as they have members, and no link between components is missed.
-Every comparison is exact on the sets of 64-bit hashes.
+What meets in a segment is compared in two steps. First every set with the one
+set of its segments' pivots that it meets most often: as many comparisons as sets.
+Then, where a segment still holds several components, all its sets across them:
+pair by pair in small segments; in large ones, whose sets are near misses of each
+other, block by block, so that no task holds more than two blocks and no pair is a
+row. No link between components is missed. Every comparison is exact on the sets
+of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -33,34 +36,38 @@ from tallyloom.plans.storage import materialize
 
 WIDTH = 5
 #: Counters of shingle frequencies: a fixed number, whatever the corpus.
-COUNTERS_LOG2 = 18
+COUNTERS_LOG2 = 20
 _BLOCK = 1 << 12
 #: Tokens per segment at the largest size of a band; 0 is one shingle a segment.
-GRAINS = (2.0, 1.0, 0.5, 0.0)
+GRAINS = (3.0, 1.5, 0.0)
 #: Signatures that a task combines before it passes them on.
 _CHUNK = 1 << 20
 _CACHED = 500_000
+#: Larger segments are compared in blocks of so many sets.
+PAIRWISE, BLOCK = 32, 256
+_COLUMNS = 4096
+#: Bits of a signature: chance meetings cost a comparison, and shorter ones shuffle less.
+_SHORT = np.uint64(0xFFFFFFFFFFFF)
 _POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
+class _Words(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = xxhash.xxh64_intdigest(word)
+        return found
+
+
 class Shingler:
     """Distinct shingle hashes of a text, sorted; the hash of a word is looked up once."""
 
     def __init__(self, width: int = WIDTH) -> None:
-        self.width, self.known = width, {}
+        self.width, self.known = width, _Words()
 
     def __call__(self, text: str) -> np.ndarray:
         words = text.encode("utf-8", "replace").lower().split()
-        known = self.known
-        if len(known) > _CACHED:
-            known.clear()
-        try:
-            codes = np.array([known[w] for w in words], np.uint64)
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w)
-            codes = np.array([known[w] for w in words], np.uint64)
+        if len(self.known) > _CACHED:
+            self.known.clear()
+        codes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         n = len(codes)
         if not n:
             return codes
@@ -72,27 +79,25 @@ class Shingler:
         return np.unique(mix64(total))
 
 
-def most_apart(n: int) -> int:
-    """The largest Hamming distance of a set of n to a similar set of any size."""
-    return (n + 4 * n // 3) // 7
+def most_apart(n: int, band: int) -> int:
+    """The largest Hamming distance of a set of n to a similar set in the band: of any size in its own, smaller in the one below."""
+    return (n + 4 * n // 3) // 7 if band == _band(n) else 2 * n // 7
 
 
 def bands_of(n: int) -> list[int]:
-    """The bands that a set of n is looked up in: its own, and the one below if that holds similar sizes.
-
-    Band 0: sizes 1 and 2, band 1: 3 to 5, band b from 2: 6 to 11, 12 to 23 and so on.
-    """
+    """The bands that a set of n is looked up in: its own, and the one below if that holds similar sizes."""
     own = _band(n)
     return [own] if _band(-(-3 * n // 4)) == own else [own - 1, own]
 
 
 def _band(n: int) -> int:
-    return 0 if n < 3 else 1 if n < 6 else (n // 6).bit_length() + 1
+    """Band 0: sizes 1 and 2, band 1: 3 to 5, band b from 2: 6 to 23, 24 to 95 and so on."""
+    return 0 if n < 3 else 1 if n < 6 else 2 + ((n // 6).bit_length() - 1) // 2
 
 
 def segments_in(band: int, grain: float) -> int:
     """Number of segments of a band from 2; its largest visitor is a third larger than its sizes."""
-    return max(1, int((6 << (band - 1)) * 4 / 3 / grain))
+    return max(1, int((6 << 2 * (band - 1)) * 4 / 3 / grain))
 
 
 def _starts(sets: np.ndarray, band: int, grain: float) -> tuple[np.ndarray, np.ndarray]:
@@ -124,12 +129,12 @@ def signatures(sets: np.ndarray, grains: dict[int, float], counts: np.ndarray) -
                     out.append(mix64(whole - mix64(sets) + salt))
                 continue
             starts, numbers = _starts(sets, band, grains[band])
-            needed = most_apart(n) + 1
+            needed = most_apart(n, band) + 1
             cost = np.minimum.reduceat(counts[(sets >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)], starts)
             content = mix64(np.add.reduceat(mix64(sets), starts) + mix64(numbers + salt))
             # The rarest first; equal costs in the order of their content.
             out.append(content[np.lexsort((content, cost))[:needed]])
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return np.concatenate(out) & _SHORT if out else np.zeros(0, np.uint64)
 
 
 _FIRST = "kind int, doc_id long, n long, cls long, block int, data binary"
@@ -151,14 +156,14 @@ def _survey(docs: DataFrame) -> DataFrame:
                 for band in bands_of(n) if n > 5 else []:
                     for grain in GRAINS[:-1]:
                         if band > 1:
-                            left = len(_starts(sets, band, grain)[0]) - most_apart(n) - 1
+                            left = len(_starts(sets, band, grain)[0]) - most_apart(n, band) - 1
                             spare[band, grain] = min(spare.get((band, grain), left), left)
             if seen:
                 counts += np.bincount(np.concatenate(seen), minlength=len(counts))
             k = len(sizes)
             none = pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), ids, pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), *none], _names(_FIRST))
-        blocks = [(1, None, None, None, b, counts[b * _BLOCK : (b + 1) * _BLOCK].tobytes()) for b in range(len(counts) // _BLOCK)] if counts.any() else []
+        blocks = [(1, None, None, None, b, counts[b * _BLOCK : (b + 1) * _BLOCK].astype(np.uint32).tobytes()) for b in range(len(counts) // _BLOCK)] if counts.any() else []
         blocks += [(2, band, left, None, GRAINS.index(grain), None) for (band, grain), left in spare.items()]
         if blocks:
             types = pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()
@@ -172,19 +177,22 @@ def _names(schema: str) -> list[str]:
 
 
 def _frequencies(first: DataFrame) -> np.ndarray:
-    """Frequencies of all tasks together: a sum in two levels, so that no group grows with the number of tasks squared."""
+    """Frequencies of all tasks together: a sum in two levels, so that a group grows with the root of their number."""
 
     def added(frame):
-        total = np.sum([np.frombuffer(x, np.int64) for x in frame["data"]], axis=0)
-        return frame.iloc[:1].assign(data=[total.tobytes()])
+        total = np.zeros(_BLOCK, np.int64)
+        for data in frame["data"]:
+            total += np.frombuffer(data, np.uint32)
+        return frame.iloc[:1].assign(data=[np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()])
 
-    rows = first.where("kind = 1").select("block", (F.monotonically_increasing_id() % 61).cast("int").alias("part"), "data")
+    parts = max(1, int(first.rdd.getNumPartitions() ** 0.5))
+    rows = first.where("kind = 1").select("block", (F.spark_partition_id() % parts).alias("part"), "data")
     schema = "block int, part int, data binary"
     rows = rows.groupBy("block", "part").applyInPandas(added, schema).groupBy("block").applyInPandas(added, schema)
-    counts = np.zeros(1 << COUNTERS_LOG2, np.int64)
+    counts = np.zeros(1 << COUNTERS_LOG2, np.uint32)
     for row in rows.collect():  # a fixed number of blocks
-        counts[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = np.frombuffer(row["data"], np.int64)
-    return counts.astype(np.uint32)
+        counts[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = np.frombuffer(row["data"], np.uint32)
+    return counts
 
 
 def _grains(first: DataFrame) -> dict[int, float]:
@@ -283,7 +291,7 @@ def _sets_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
         return step
 
-    return materialize(map_batches(rows, make, "cls long, data binary").dropDuplicates(["cls"]), "sets")
+    return materialize(map_batches(rows, make, "cls long, data binary"), "sets")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -319,37 +327,97 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _linked(rows: DataFrame, met: DataFrame, classes: DataFrame) -> DataFrame | None:
-    """Roots of the classes that link with another."""
+_SIZES_FIT = "4 * least(a_n, b_n) >= 3 * greatest(a_n, b_n)"
 
-    def sized(pairs: DataFrame) -> DataFrame:
-        for x in "ab":
-            pairs = pairs.join(classes.selectExpr(f"cls AS {x}", f"n AS {x}_n"), x)
-        return pairs.where("4 * least(a_n, b_n) >= 3 * greatest(a_n, b_n)").select("a", "b")
 
-    pairs = met.selectExpr("least(cls, pivot) AS a", "greatest(cls, pivot) AS b").distinct()
-    pairs = materialize(sized(pairs), "pairs")
-    if pairs.isEmpty():
+def _linked(rows: DataFrame, met: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Roots of the classes that link with another."""
+    if met.isEmpty():
         return None
+    sizes = [classes.selectExpr(f"cls AS {x}", f"n AS {x}_n") for x in "ab"]
+    shared = met.groupBy("cls", "pivot").count().selectExpr("cls AS a", "pivot AS b", "count")
+    shared = shared.join(sizes[0], "a").join(sizes[1], "b").where(_SIZES_FIT)
+    best = shared.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
     asked = met.select("cls").union(met.select("pivot")).distinct()
-    reps = classes.join(asked, "cls")
-    sets = _sets_of(rows, reps.where("doc_id IS NOT NULL"))
-    links = materialize(_verified(pairs, sets), "links")
+    sets = _sets_of(rows, classes.join(asked, "cls").where("doc_id IS NOT NULL"))
+    links = materialize(_verified(best, sets), "links")
     roots = components(links)
-    # Of a segment whose classes are not all in one component, every pair across components is compared.
+
     inside = met.select("sig", "cls").union(met.select("sig", F.col("pivot").alias("cls"))).distinct()
+    inside = inside.join(classes.select("cls", "n"), "cls")
     if roots is not None:
         inside = inside.join(roots.selectExpr("node AS cls", "root"), "cls", "left")
     else:
         inside = inside.withColumn("root", F.lit(None).cast("long"))
-    inside = inside.join(classes.select("cls", "n"), "cls").selectExpr("sig", "cls", "coalesce(root, cls) AS root", "n")
-    inside = materialize(inside, "inside")
-    mixed = inside.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
-    open_ = inside.join(mixed.where("low < high AND size > 2").select("sig"), "sig")
-    a, b = (open_.selectExpr("sig", f"cls AS {x}", f"root AS {x}_root", f"n AS {x}_n") for x in "ab")
-    across = a.join(b, "sig").where("a < b AND a_root <> b_root AND 4 * least(a_n, b_n) >= 3 * greatest(a_n, b_n)")
-    across = across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = materialize(_verified(across, sets), "links")
-    if more.isEmpty():
-        return roots
-    return components(links.unionByName(more))
+    inside = inside.withColumn("root", F.coalesce("root", "cls"))
+    # Segments with the same sets in them are looked at once.
+    same = inside.groupBy("sig").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"),
+        F.bit_xor(F.xxhash64("cls")).alias("print"), F.sum(F.xxhash64(F.lit(1), "cls") % 1_000_003).alias("more"),
+    ).where("low < high").groupBy("size", "print", "more").agg(F.min("sig").alias("sig"))
+    open_ = materialize(inside.join(same.select("sig", "size"), "sig"), "open")
+    small, large = open_.where(F.col("size") <= PAIRWISE), open_.where(F.col("size") > PAIRWISE)
+    a, b = (small.selectExpr("sig", f"cls AS {x}", f"root AS {x}_root", f"n AS {x}_n") for x in "ab")
+    across = a.join(b, "sig").where("a < b AND a_root <> b_root AND " + _SIZES_FIT).select("a", "b").distinct()
+    more = _verified(across, sets)
+    if not large.isEmpty():
+        more = more.unionByName(_in_blocks(large, sets))
+    more = materialize(more, "links")
+    return roots if more.isEmpty() else components(links.unionByName(more))
+
+
+def _in_blocks(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links across components among sets that large segments hold together.
+
+    Segments that have a set in common make one family; a family is dealt into
+    blocks by hash, and each pair of blocks is compared as a product of matrices.
+    """
+    stars = large.groupBy("sig").agg(F.min("cls").alias("b"))
+    families = components(large.join(stars, "sig").selectExpr("cls AS a", "b"))
+    members = families.selectExpr("node AS cls", "root AS family").join(large.select("cls", "root").distinct(), "cls")
+    counts = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(counts, "family").withColumn("own", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "own").alias("i"), F.greatest(k, "own").alias("j")))
+    dealt = dealt.join(sets, "cls").withColumn("met", F.explode(met)).select("family", "met.i", "met.j", "own", "cls", "root", "data")
+
+    def compared(table: pa.Table) -> pa.Table:
+        own = table.column("own").to_numpy()
+        cls, root = (table.column(c).to_numpy() for c in ("cls", "root"))
+        found = [np.frombuffer(x, np.uint64) for x in table.column("data").to_pylist()]
+        n = np.array(list(map(len, found)))
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        left, right = np.nonzero(own == i)[0], np.nonzero(own == j)[0]
+        _, column = np.unique(np.concatenate(found), return_inverse=True)
+        row = np.repeat(np.arange(len(found)), n)
+        common = np.zeros((len(left), len(right)), np.float32)
+        for begin in range(0, int(column.max()) + 1, _COLUMNS):
+            at = (column >= begin) & (column < begin + _COLUMNS)
+            part = np.zeros((len(found), _COLUMNS), np.float32)
+            part[row[at], column[at] - begin] = 1
+            common += part[left] @ part[right].T
+        linked = (100 * common >= 75 * (n[left][:, None] + n[right][None] - common)) & (root[left][:, None] != root[right][None])
+        x, y = np.nonzero(linked)
+        a, b = cls[left[x]], cls[right[y]]
+        # A forest of these links joins the same sets.
+        use = _forest(np.minimum(a, b), np.maximum(a, b))
+        return pa.table({"a": pa.array(a[use], pa.int64()), "b": pa.array(b[use], pa.int64())})
+
+    return dealt.groupBy("family", "i", "j").applyInArrow(compared, "a long, b long")
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Indices of edges that connect what all of them connect."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    use = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = root(x), root(y)
+        if x != y:
+            up[x] = y
+            use.append(k)
+    return use
