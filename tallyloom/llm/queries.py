@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, exact_dedup, jaccard_join, language, packing, pii, quality, toxicity
+from tallyloom.llm import chat, decontaminate, exact_dedup, jaccard_join, language, packing, pii, quality, toxicity
 from tallyloom.llm.common import id_remainder, text_of
 from tallyloom.sources.tables import table
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text").withColumn("held_out", id_remainder(5) == 0)
     model = toxicity.fit_toxicity(docs.where("NOT held_out"), table(spark, sf, "labels").where(id_remainder(5) != 0))
@@ -83,7 +87,7 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op2_toxicity, op3_quality, op4_jaccard_join, op5_exact_dedup, op7_pii, op8_language, op9_chat_format, op10_packing)}
+    return {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op3_quality, op4_jaccard_join, op5_exact_dedup, op7_pii, op8_language, op9_chat_format, op10_packing)}
 
 
 _OP4 = r"""
