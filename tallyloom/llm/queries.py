@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, exact_dedup, jaccard_join, language, packing, pii, quality, toxicity
+from tallyloom.llm import chat, decontaminate, exact_dedup, jaccard_join, language, packing, pii, quality, substring, toxicity
 from tallyloom.llm.common import id_remainder, text_of
 from tallyloom.sources.tables import table
 
@@ -40,6 +41,10 @@ def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark_copies(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = pii.find_pii(docs, pii.fit_pii(docs), keep=["doc_id"])
@@ -87,7 +92,8 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op3_quality, op4_jaccard_join, op5_exact_dedup, op7_pii, op8_language, op9_chat_format, op10_packing)}
+    found = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op3_quality, op4_jaccard_join, op5_exact_dedup, op6_substring_dedup, op7_pii, op8_language, op9_chat_format, op10_packing)}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 _OP4 = r"""
