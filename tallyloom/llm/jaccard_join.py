@@ -41,7 +41,7 @@ _BLOCK = 1 << 12
 #: Tokens per segment at the largest size of a band; 0 is one shingle a segment.
 GRAINS = (3.0, 1.5, 0.0)
 #: Signatures that a task combines before it passes them on.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _CACHED = 500_000
 #: Larger segments are compared in blocks of so many sets.
 PAIRWISE, BLOCK = 32, 256
@@ -91,13 +91,13 @@ def bands_of(n: int) -> list[int]:
 
 
 def _band(n: int) -> int:
-    """Band 0: sizes 1 and 2, band 1: 3 to 5, band b from 2: 6 to 23, 24 to 95 and so on."""
-    return 0 if n < 3 else 1 if n < 6 else 2 + ((n // 6).bit_length() - 1) // 2
+    """Band 0: sizes 1 and 2, band 1: 3 to 5, band b from 2: 6 to 95, 96 to 1535 and so on."""
+    return 0 if n < 3 else 1 if n < 6 else 2 + ((n // 6).bit_length() - 1) // 4
 
 
 def segments_in(band: int, grain: float) -> int:
     """Number of segments of a band from 2; its largest visitor is a third larger than its sizes."""
-    return max(1, int((6 << 2 * (band - 1)) * 4 / 3 / grain))
+    return max(1, int((6 << 4 * (band - 1)) * 4 / 3 / grain))
 
 
 def _starts(sets: np.ndarray, band: int, grain: float) -> tuple[np.ndarray, np.ndarray]:
