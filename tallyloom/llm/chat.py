@@ -71,12 +71,13 @@ def best_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "branch"))
         chosen = leaves.withColumn("rank", rank)
         chosen = chosen if branches is None else chosen.where(F.col("rank") <= branches)
-    members = chosen.withColumns({"node": F.col("branch"), "depth": F.col("length")})
+    # Written at each step: the plan of the next one would hold this one twice.
+    members = materialize(chosen, "paths").withColumns({"node": F.col("branch"), "depth": F.col("length")})
     for k in reversed(range(len(levels))):
         up = levels[k].where("up IS NOT NULL").select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
         higher = members.join(up, members.tree.eqNullSafe(up.t) & (members.node == up.n))
         higher = higher.select("tree", "branch", "length", "score", "rank", F.col("up").alias("node"), (F.col("depth") - (1 << k)).alias("depth"))
-        members = members.select(*higher.columns).unionByName(higher)
+        members = materialize(members.select(*higher.columns).unionByName(higher), "paths")
     return members.select("tree", "branch", "rank", "score", "node", "depth")
 
 
