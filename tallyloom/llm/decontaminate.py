@@ -35,19 +35,24 @@ ITEMS = 2000
 #: Dimensions of the latent space, and more that the sketch has.
 RANK, EXTRA = 128, 8
 #: Words in more than this share of all passages carry no weight, unless an item has nearly no others.
-COMMON = 0.1
+COMMON = 0.02
 FEWEST = 4
-COSINE = 0.4
+COSINE = 0.55
 #: Shares of an item's words, in order, that make a leak by themselves, and with the answer.
 ALONE, WITH_ANSWER, ANSWER = 0.8, 0.6, 0.5
 #: Nonzeros of the sketch per passage.
 _SIGNS = 4
 _ROWS = 128
-_WORD = re.compile(r"\w+")
+_PUNCTUATION = re.compile("[\u2010-\u206f]")
+_BLANKED = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
-def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+def words_of(text: str) -> list[bytes]:
+    """Lower-cased words; ASCII other than letters and digits separates them, and general punctuation."""
+    data = text.lower().encode("utf-8", "replace")
+    if b"\xe2\x80" in data or b"\xe2\x81" in data:
+        data = _PUNCTUATION.sub(" ", text.lower()).encode("utf-8", "replace")
+    return data.translate(_BLANKED).split()
 
 
 @dataclass
@@ -57,9 +62,9 @@ class Piece:
     answer: np.ndarray
 
 
-def pieces_of(items: list[tuple[object, str, str | None]]) -> tuple[list[Piece], dict[str, int]]:
+def pieces_of(items: list[tuple[object, str, str | None]]) -> tuple[list[Piece], dict[bytes, int]]:
     """Pieces of items, and the ids of their words from 1. Without an answer, the last quarter of an item is its answer."""
-    ids: dict[str, int] = {}
+    ids: dict[bytes, int] = {}
     found = []
     for item, text, answer in items:
         codes = np.array([ids.setdefault(w, len(ids) + 1) for w in words_of(text or "")], np.int64)
@@ -74,7 +79,7 @@ def pieces_of(items: list[tuple[object, str, str | None]]) -> tuple[list[Piece],
 _CODED = "kind int, doc_id long, first int, codes binary"
 
 
-def _coded(docs: DataFrame, ids: dict[str, int]) -> DataFrame:
+def _coded(docs: DataFrame, ids: dict[bytes, int]) -> DataFrame:
     """Kind 0: the words of a document as ids (0: not in the benchmark). Kind 1, per task: passages, and how many hold each word."""
     kind = np.dtype("<u2" if len(ids) < 65_535 else "<u4")
     shared = docs.sparkSession.sparkContext.broadcast(ids)
@@ -129,38 +134,44 @@ class Space:
     basis: np.ndarray | None = None
 
     def entries(self, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of several documents: (passage, row, value) of the normalised TF-IDF vectors, and the first passage of each document."""
-        passages, rows, firsts, first = [], [], [], 0
+        """Of several documents: (stretch, row, value) of the TF-IDF vectors of stretches of ``STRIDE`` words, and the first stretch of each.
+
+        A passage is a stretch and the next one; one more without words ends each document.
+        """
+        stretches, rows, firsts, first = [], [], [], 0
         for found in codes:
             row = self.term[found]
             at = np.nonzero(row >= 0)[0]
-            count = max(1, -(-(len(found) - STRIDE) // STRIDE))
-            block = at // STRIDE
-            for shift in (0, 1):
-                ok = (block - shift >= 0) & (block - shift < count)
-                passages.append(block[ok] - shift + first)
-                rows.append(row[at[ok]])
+            stretches.append(at // STRIDE + first)
+            rows.append(row[at])
             firsts.append(first)
-            first += count
-        passage, row = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (passages, rows))
-        key, tf = np.unique(passage * len(self.weight) + row, return_counts=True)
-        passage, row = np.divmod(key, len(self.weight))
-        value = tf * self.weight[row]
-        norm = np.sqrt(np.bincount(passage, value * value, first))
-        return passage, row, value / norm[passage], np.array(firsts)
-
-    def project(self, passage: np.ndarray, row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Passages with any entry, and their vectors in the basis."""
-        if not len(passage):
-            return passage, np.zeros((0, self.basis.shape[1]), np.float32)
-        starts = np.concatenate([[0], np.nonzero(passage[1:] != passage[:-1])[0] + 1])
-        out = np.empty((len(starts), self.basis.shape[1]), np.float32)
-        ends = np.append(starts[1:], len(passage))
-        for k in range(0, len(starts), 4096):
-            a, b = starts[k], ends[min(k + 4096, len(starts)) - 1]
-            gathered = self.basis[row[a:b]] * value[a:b, None].astype(np.float32)
-            out[k : k + 4096] = np.add.reduceat(gathered, starts[k : k + 4096] - a, axis=0)
-        return passage[starts], out
+            first += -(-len(found) // STRIDE) + 1
+        stretch, row = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (stretches, rows))
+        key, tf = np.unique(stretch * len(self.weight) + row, return_counts=True)
+        stretch, row = np.divmod(key, len(self.weight))
+        return stretch, row, tf * self.weight[row], np.array([*firsts, first])
+
+    def norms(self, stretch: np.ndarray, row: np.ndarray, value: np.ndarray, count: int) -> np.ndarray:
+        """Lengths of the TF-IDF vectors of passages, 1 where a passage has none of the words."""
+        key = np.concatenate([stretch, stretch - 1]) * len(self.weight) + np.concatenate([row, row])
+        key, at = np.unique(key, return_inverse=True)
+        both = np.bincount(at, np.concatenate([value, value]))
+        passage = key // len(self.weight)
+        squares = np.bincount(passage[passage >= 0], both[passage >= 0] ** 2, count)
+        return np.sqrt(np.where(squares > 0, squares, 1))
+
+    def project(self, stretch: np.ndarray, row: np.ndarray, value: np.ndarray, count: int) -> np.ndarray:
+        """Vectors of all passages in the basis, not scaled: sums over a stretch and the next one."""
+        sums = np.zeros((count + 1, self.basis.shape[1]), np.float32)
+        if len(stretch):
+            starts = np.concatenate([[0], np.nonzero(stretch[1:] != stretch[:-1])[0] + 1])
+            ends = np.append(starts[1:], len(stretch))
+            for k in range(0, len(starts), 1024):
+                a, b = starts[k], ends[min(k + 1024, len(starts)) - 1]
+                gathered = self.basis[row[a:b]]
+                gathered *= value[a:b, None].astype(np.float32)
+                sums[stretch[starts[k : k + 1024]]] = np.add.reduceat(gathered, starts[k : k + 1024] - a, axis=0)
+        return sums[:-1] + sums[1:]
 
 
 def _batches(batches: Iterator[pa.RecordBatch], space: Space, most: int = 400_000):
@@ -199,23 +210,28 @@ def _partial(coded: DataFrame, space: Space, width: int, add, dtype: str) -> np.
 
 def _sketch(space: Space, total: np.ndarray, ids: list, codes: list[np.ndarray]) -> None:
     """Adds the transposed TF-IDF matrix times a sparse random sign matrix; signs depend on document and passage alone."""
-    passage, row, value, firsts = space.entries(codes)
-    if not len(passage):
+    stretch, row, value, firsts = space.entries(codes)
+    if not len(stretch):
         return
-    count = int(passage[-1]) + 1
+    count = int(firsts[-1])
+    norms = space.norms(stretch, row, value, count)
     doc = firsts.searchsorted(np.arange(count), "right") - 1
     seed = np.array([hash(i) & 0xFFFFFFFF for i in ids], np.uint64)[doc] * np.uint64(1 << 20) + (np.arange(count) - firsts[doc]).astype(np.uint64)
     width = total.shape[1]
     for k in range(_SIGNS):
         drawn = mix64(seed * np.uint64(_SIGNS) + np.uint64(k))
         column = (drawn >> np.uint64(33)).astype(np.int64) % width
-        sign = 1.0 - 2.0 * (drawn & np.uint64(1)).astype(float)
-        total += np.bincount(row * width + column[passage], value * sign[passage], total.size).reshape(total.shape)
+        scaled = (1.0 - 2.0 * (drawn & np.uint64(1)).astype(float)) / norms
+        for shift in (0, 1):  # an entry is in the passage of its stretch and in the one before
+            at = np.maximum(stretch - shift, 0)
+            use = value * scaled[at] * (stretch >= shift)
+            total += np.bincount(row * width + column[at], use, total.size).reshape(total.shape)
 
 
 def _gram(space: Space, total: np.ndarray, ids: list, codes: list[np.ndarray]) -> None:
-    passage, row, value, _ = space.entries(codes)
-    vectors = space.project(passage, row, value)[1]
+    stretch, row, value, firsts = space.entries(codes)
+    count = int(firsts[-1])
+    vectors = space.project(stretch, row, value, count) / space.norms(stretch, row, value, count)[:, None].astype(np.float32)
     total += vectors.T @ vectors
 
 
@@ -283,16 +299,16 @@ def _leaks_of_block(docs: DataFrame, items: list[tuple[object, str, str | None]]
         sizes = [int((space.term[p.ids] >= 0).sum()) for p in pieces]
         answers = [_masks(p.answer) for p in pieces]
         for doc_ids, codes in _batches(batches, space):
-            passage, row, value, firsts = space.entries(codes)
-            which, vectors = space.project(passage, row, value)
+            stretch, row, value, firsts = space.entries(codes)
+            vectors = space.project(stretch, row, value, int(firsts[-1]))
             vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
             best: dict[tuple[int, int], tuple] = {}
-            for k in range(0, len(which), 4096):
+            for k in range(0, len(vectors), 4096):
                 cosine = vectors[k : k + 4096] @ latent
                 for i, q in zip(*np.nonzero(cosine >= COSINE)):
-                    at = which[k + i]
+                    at = k + int(i)
                     doc = int(firsts.searchsorted(at, "right") - 1)
-                    begin = max(0, int(at - firsts[doc]) * STRIDE - STRIDE)
+                    begin = max(0, (at - int(firsts[doc])) * STRIDE - STRIDE)
                     region = codes[doc][begin : begin + WINDOW + 2 * STRIDE].tolist()
                     n = len(pieces[q].ids)
                     share = lcs(whole[q], n, region) / n
