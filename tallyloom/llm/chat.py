@@ -48,20 +48,22 @@ def best_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     plain = nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     known = plain.select(F.col("tree").alias("t"), F.col("node").alias("p"))
     rooted = plain.join(known, plain.tree.eqNullSafe(known.t) & (plain.parent == known.p), "left")
-    level = materialize(rooted.select(
+    base = materialize(rooted.select(
         "tree", "node", F.col("p").alias("up"), F.when(F.col("p").isNotNull(), 1).otherwise(0).cast("long").alias("steps"), F.col("score").alias("total"),
     ), "paths")
-    most, levels = level.count(), []
-    while not level.where("up IS NOT NULL").isEmpty() and 1 << len(levels) <= 2 * most:
-        levels.append(level)
-        above = level.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("total").alias("plus"))
-        joined = level.join(above, level.tree.eqNullSafe(above.t) & (level.up == above.n), "left")
-        level = materialize(joined.select(
-            "tree", "node", F.col("next").alias("up"),
-            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), (F.col("total") + F.coalesce("plus", F.lit(0.0))).alias("total"),
+    # Nodes whose pointer has reached a root are done; only the others are joined again.
+    done, open_ = base.where("up IS NULL"), base.where("up IS NOT NULL")
+    most, levels = base.count(), []
+    while not open_.isEmpty() and 1 << len(levels) <= 2 * most:
+        levels.append(open_)
+        above = done.unionByName(open_).select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("total").alias("plus"))
+        joined = open_.join(above, open_.tree.eqNullSafe(above.t) & (open_.up == above.n))
+        moved = materialize(joined.select(
+            "tree", "node", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), (F.col("total") + F.col("plus")).alias("total"),
         ), "paths")
+        done, open_ = done.unionByName(moved.where("up IS NULL")), moved.where("up IS NOT NULL")
     parents = rooted.where("p IS NOT NULL").select(F.col("tree").alias("t"), F.col("p").alias("n")).distinct()
-    leaves = level.where("up IS NULL").join(parents, level.tree.eqNullSafe(parents.t) & (level.node == parents.n), "left_anti")
+    leaves = done.join(parents, done.tree.eqNullSafe(parents.t) & (done.node == parents.n), "left_anti")
     mean = (F.col("total") / (F.col("steps") + 1)).alias("score")
     leaves = leaves.select("tree", F.col("node").alias("branch"), F.col("steps").alias("length"), mean)
     if branches == 1:
@@ -74,7 +76,7 @@ def best_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
     # Written at each step: the plan of the next one would hold this one twice.
     members = materialize(chosen, "paths").withColumns({"node": F.col("branch"), "depth": F.col("length")})
     for k in reversed(range(len(levels))):
-        up = levels[k].where("up IS NOT NULL").select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
+        up = levels[k].select(F.col("tree").alias("t"), F.col("node").alias("n"), "up")
         higher = members.join(up, members.tree.eqNullSafe(up.t) & (members.node == up.n))
         higher = higher.select("tree", "branch", "length", "score", "rank", F.col("up").alias("node"), (F.col("depth") - (1 << k)).alias("depth"))
         members = materialize(members.select(*higher.columns).unionByName(higher), "paths")
