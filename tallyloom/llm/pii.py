@@ -222,7 +222,7 @@ def _training(sample: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 labels.append(bool(exact and exact[0][2]))
         if len(rows) >= CANDIDATES:
             break
-    return np.array(rows, float).reshape(len(rows), -1), np.array(labels, bool)
+    return np.array(rows, float), np.array(labels, bool)
 
 
 def fit_pii(docs: DataFrame, documents: int = DOCUMENTS) -> Trees | None:

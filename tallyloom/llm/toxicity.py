@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import majority_labels, map_batches, sampled_texts, sigmoid, text_of
 
 #: Labelled documents in the sample that the field is fitted on.
-DOCUMENTS = 3000
+DOCUMENTS = 2000
 BUCKETS = 1 << 17
 SPAN = 0.5
 #: A word counts as toxic if chance gives its documents with less than this, divided by the number of words.
@@ -31,7 +31,7 @@ CHANCE = 1e-2
 EPOCHS, PARTS, RATE = 12, 8, 0.15
 _TOKEN = re.compile(r"\w+")
 _CACHED = 500_000
-_BATCH_TOKENS = 1 << 20
+_BATCH_TOKENS = 1 << 19
 
 
 def _hashed(kind: str, value: str) -> int:
@@ -189,8 +189,8 @@ def fit(sample: list[tuple[str, int]]) -> ToxicityModel | None:
         for w in set(flat):
             if w not in known:
                 known[w] = features(w)
-        ids = np.array([known[w][0] for w in flat])
-        prev, nxt = np.array([known[w][1] for w in flat]), np.array([known[w][2] for w in flat])
+        ids = np.array([known[w][0] for w in flat], np.int32)
+        prev, nxt = (np.fromiter((known[w][k] for w in flat), np.int32) for k in (1, 2))
         first = np.zeros(len(flat), bool)
         first[np.cumsum([0, *[len(d) for d, _ in part]])[:-1]] = True
         gold = np.array([x and w.lower() in words for d, x in part for w in d], float)
