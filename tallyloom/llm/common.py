@@ -33,13 +33,23 @@ def kept_small(df: DataFrame, row_bytes: int, name: str) -> tuple[DataFrame, boo
     return written, False
 
 
+#: Rows of an Arrow batch that are taken up at a time, so that only their texts are Python objects.
+SLICE = 1024
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, batch.num_rows, SLICE):
+            yield batch.slice(begin, SLICE)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str) -> DataFrame:
     """Each Arrow batch through a function that ``make`` sets up once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
-            if batch.num_rows and (out := step(batch)) is not None and out.num_rows:
+        for batch in sliced(batches):
+            if (out := step(batch)) is not None and out.num_rows:
                 yield out
 
     return df.mapInArrow(run, schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import BROADCAST_BYTES, kept_small, mix64, text_of
+from tallyloom.llm.common import BROADCAST_BYTES, kept_small, mix64, sliced, text_of
 from tallyloom.plans.storage import materialize
 
 WINDOW, STRIDE = 64, 32
@@ -87,8 +87,8 @@ def _coded(docs: DataFrame, ids: dict[bytes, int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, names = shared.value, [c.split()[0] for c in _CODED.split(", ")]
         counts, blocks = np.zeros(len(known) + 1, np.int64), 0
-        for batch in batches:
-            rows, data, at, seen = [], [], [], []
+        for batch in sliced(batches):
+            rows, data, seen = [], [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
                 words = words_of(text)
                 codes = np.fromiter(map(known.get, words, repeat(0)), kind, len(words))

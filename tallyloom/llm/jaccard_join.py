@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import kept_small, map_batches, mix64, text_of
+from tallyloom.llm.common import kept_small, map_batches, mix64, sliced, text_of
 from tallyloom.llm.components import components
 from tallyloom.plans.storage import materialize
 
@@ -42,7 +42,7 @@ _BLOCK = 1 << 12
 GRAINS = (3.0, 1.5, 0.0)
 #: Signatures that a task combines before it passes them on.
 _CHUNK = 1 << 19
-_CACHED = 500_000
+_CACHED = 200_000
 #: Larger segments are compared in blocks of so many sets.
 PAIRWISE, BLOCK = 32, 256
 _COLUMNS = 4096
@@ -145,7 +145,7 @@ def _survey(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts, spare = Shingler(), np.zeros(1 << COUNTERS_LOG2, np.int64), {}
-        for batch in batches:
+        for batch in sliced(batches):
             ids, sizes, classes, seen = batch.column(0), [], [], []
             for text in batch.column(1).to_pylist():
                 sets = shingler(text)
@@ -230,7 +230,7 @@ def _meetings(docs: DataFrame, grains: dict[int, float], counts: np.ndarray) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, known, seen, sig, cls, held = Shingler(), shared.value, set(), [], [], 0
-        for batch in batches:
+        for batch in sliced(batches):
             for text in batch.column(1).to_pylist():
                 sets = shingler(text)
                 which = set_id(sets)

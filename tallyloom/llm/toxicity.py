@@ -30,7 +30,7 @@ SPAN = 0.5
 CHANCE = 1e-2
 EPOCHS, PARTS, RATE = 12, 8, 0.15
 _TOKEN = re.compile(r"\w+")
-_CACHED = 500_000
+_CACHED = 200_000
 _BATCH_TOKENS = 1 << 19
 
 
