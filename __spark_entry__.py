@@ -90,6 +90,20 @@ def rank_index_bags(spark: SparkSession, sf: str) -> DataFrame:
     return mentions.rank_by_index(mentions.bag_index(index, bag_size=BAG_SIZE))
 
 
+def _large_vocabulary(spark: SparkSession, sf: str) -> list[str]:
+    """All words of the benchmark table: more than are compared one by one."""
+    words = tables.table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("word"))
+    return [r.word for r in words.where("word <> '' AND NOT contains(word, '\\n')").distinct().orderBy("word").collect()]
+
+
+def rank_large(spark: SparkSession, sf: str) -> DataFrame:
+    return mentions.rank_by_count(tables.articles(spark, sf), _large_vocabulary(spark, sf))
+
+
+def rank_large_zeros(spark: SparkSession, sf: str) -> DataFrame:
+    return mentions.rank_all(tables.articles(spark, sf), [*_large_vocabulary(spark, sf), "never found"])
+
+
 def rank_reduce(spark: SparkSession, sf: str) -> DataFrame:
     return mentions.rank_by_count(tables.articles(spark, sf), VOCABULARY)
 
@@ -264,7 +278,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
         article_parse, article_parse_permissive, article_parse_rejects,
         mention_occurrences, mention_index, mention_index_bags,
-        rank_naive, rank_index, rank_index_bags, rank_reduce,
+        rank_naive, rank_index, rank_index_bags, rank_reduce, rank_large, rank_large_zeros,
         postings_parse, postings_parse_permissive, postings_parse_rejects,
         postings_placed, postings_join, postings_grouped,
         postings_scored, postings_scored_pairs, postings_vectors, postings_vectors_matched,
@@ -298,6 +312,12 @@ _HITS = f"""{_ARTICLES}, {_WORDS},
 hits AS (SELECT keyword, title, text FROM words JOIN articles ON list_contains(string_split(text, ' '), keyword))"""
 _RANKED = f"WITH {_HITS} SELECT keyword, count(*) AS n FROM hits GROUP BY keyword ORDER BY n DESC, keyword"
 
+_LARGE = f"""{_ARTICLES},
+words AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS keyword FROM benchmark),
+large AS (SELECT keyword FROM words WHERE keyword <> '' AND NOT contains(keyword, chr(10))),
+told AS (SELECT DISTINCT title, text, unnest(string_split(text, ' ')) AS keyword FROM articles),
+counted AS (SELECT keyword, count(*) AS n FROM told JOIN large USING (keyword) GROUP BY keyword)"""
+
 _POSTINGS = """questions AS (
   SELECT CAST(1 AS INTEGER) AS posting_type, o_orderkey AS id,
          CASE WHEN o_orderstatus = 'F' THEN o_orderkey * 10 + 1 END AS accepted_answer,
@@ -406,6 +426,8 @@ GROUP BY w.keyword, w.position ORDER BY n DESC, w.position DESC""",
         "rank_index": _RANKED,
         "rank_index_bags": _RANKED,
         "rank_reduce": _RANKED,
+        "rank_large": f"WITH {_LARGE} SELECT keyword, n FROM counted",
+        "rank_large_zeros": f"WITH {_LARGE} SELECT keyword, coalesce(n, 0) AS n FROM (SELECT keyword FROM large UNION ALL SELECT 'never found') LEFT JOIN counted USING (keyword)",
         "postings_parse": f"WITH {_POSTINGS} SELECT * FROM questions UNION ALL SELECT * FROM answers",
         "postings_parse_permissive": "SELECT CAST(1 AS INTEGER) AS posting_type, o_orderkey AS id, CAST(0 AS INTEGER) AS score, o_orderpriority AS tags FROM orders WHERE o_orderstatus <> 'P'",
         "postings_parse_rejects": "SELECT concat('1,', o_orderkey, ',,,n/a,', o_orderpriority) AS value FROM orders WHERE o_orderstatus = 'P'",

@@ -22,11 +22,6 @@ MAX_ITERATIONS = 120
 MIN_STRATIFIED_SPREAD = 500
 
 # The cluster report.
-REPORT_HEADER = (
-    "Resulting clusters:",
-    "  Score  Dominant language (%percent)  Questions",
-    "================================================",
-)
 REPORT_LINE = "%7d  %-17s (%-5.1f%%)      %7d"
 
 
@@ -171,16 +166,16 @@ def exact_median(points: DataFrame, group: str, value: str, weight: str) -> Data
 
     Works like a radix selection: a histogram over the upper 16 bits finds the
     bucket of each middle rank, and a histogram over the lower 16 bits of that
-    bucket finds the value. Hence no task sees more than 65,536 rows of a group,
-    however many points or distinct values it has, and both histograms are
-    summed up before they are shuffled.
+    bucket finds the value. Points are first summed by value, in each task and then
+    over all, by group and value, so a group with most points is spread like its
+    values; both histograms come from these sums, and no points are joined.
     """
     halves = points.select(
         group,
         F.shiftright(value, HALF_BITS).alias("upper"),
         F.col(value).bitwiseAND(2**HALF_BITS - 1).alias("lower"),
         F.col(weight).alias("weight"),
-    )
+    ).groupBy(group, "upper", "lower").agg(F.sum("weight").alias("weight"))
     ascending = Window.partitionBy(group).orderBy("upper")
     coarse = halves.groupBy(group, "upper").agg(F.sum("weight").alias("weight")).select(
         group,

@@ -93,12 +93,7 @@ def rank_by_count(articles: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     Only keywords and partial counts are shuffled.
     """
     keywords = checked_vocabulary(vocabulary)
-    if len(keywords) > LITERAL_VOCABULARY:
-        counted = _count_all(articles, keywords).where("n > 0")
-    else:
-        counted = index_articles(articles, keywords, columns=()).groupBy("keyword").agg(
-            F.count(F.lit(1)).alias("n")
-        )
+    counted = _count_all(articles, keywords).where("n > 0")
     return counted.select("keyword", "n").orderBy(F.desc("n"), "keyword")
 
 
@@ -119,15 +114,16 @@ def _count_all(articles: DataFrame, keywords: list[str]) -> DataFrame:
     """``(keyword, position, n)`` for every keyword, in one scan and one shuffle.
 
     The vocabulary joins the mentions as rows that weigh nothing, which keeps
-    keywords without a mention and drops tokens that are no keyword, so neither
-    needs a join. A frequent token is summed up before it is shuffled.
+    keywords without a mention without a join. Only keywords are shuffled, summed
+    up before; a vocabulary too large to broadcast shuffles all tokens instead of
+    scanning the articles once per part.
     """
-    if len(keywords) <= LITERAL_VOCABULARY:
-        found = mentioned(F.col("text"), keywords)
+    if len(list(_broadcastable(keywords))) == 1:
+        found = index_articles(articles, keywords, columns=())
     else:
-        found = F.array_distinct(tokens(F.col("text")))
-    mentions_found = articles.select(
-        F.explode(found).alias("keyword"), F.lit(None).cast("int").alias("position"), F.lit(1).alias("weight")
+        found = articles.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("keyword"))
+    mentions_found = found.select(
+        "keyword", F.lit(None).cast("int").alias("position"), F.lit(1).alias("weight")
     )
     words = _vocabulary_rows(articles, keywords).withColumn("weight", F.lit(0))
     return (

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEED = 42
+# Parts of an x whose first rows are found apart, so no task sorts all points of an x.
+PARTS = 64
 
 
 def sample_order(seed: int = SEED) -> Column:
@@ -21,9 +23,12 @@ def exact_sample(vectors: DataFrame, size: int, seed: int = SEED) -> DataFrame:
 def stratified_sample(vectors: DataFrame, per_stratum: int, seed: int = SEED) -> DataFrame:
     """``per_stratum`` points for each x, with their place ``rn`` in the sample.
 
-    Spark keeps the first ``per_stratum`` rows of each x in every task before
-    the shuffle (up to ``spark.sql.optimizer.windowGroupLimitThreshold`` of
-    them), so the x that holds most points sends no more than the others.
+    The points of an x are dealt into parts by a hash of their id; the first
+    ``per_stratum`` of each part hold those of the x, whatever their number, and
+    at most ``PARTS`` times ``per_stratum`` points of an x come together.
     """
+    part = F.pmod(F.xxhash64("qid"), F.lit(PARTS))
+    by_part = Window.partitionBy("x", part).orderBy(sample_order(seed), "y")
+    vectors = vectors.withColumn("rn", F.row_number().over(by_part)).where(F.col("rn") <= per_stratum).drop("rn")
     by_x = Window.partitionBy("x").orderBy(sample_order(seed), "y")
     return vectors.withColumn("rn", F.row_number().over(by_x)).where(F.col("rn") <= per_stratum)

@@ -29,15 +29,14 @@ def survey_schema(names: Sequence[str]) -> T.StructType:
 
 
 def read_survey(
-    spark: SparkSession, path: str, check_whole_rows: bool = False
+    spark: SparkSession, path: str, check_whole_rows: bool = True
 ) -> tuple[list[str], DataFrame]:
     """Column names and rows of a survey file or folder of files.
 
     Every file has its own header, which must name the same columns. A cell that
-    is missing or no number fails the job. By default a cell is checked when its
-    column is used, so that unused columns are not even parsed; with
-    ``check_whole_rows`` every row is checked whatever columns are used. The
-    first column is text and may be empty.
+    is missing or no number fails the job, whatever columns are used. Without
+    ``check_whole_rows`` a cell is checked only when its column is used, and unused
+    columns are not even parsed. The first column is text and may be empty.
     """
     names = header_names(spark, path)
     rows = spark.read.csv(
