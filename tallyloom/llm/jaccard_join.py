@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import kept_small, map_batches, mix64, sliced, text_of
+from tallyloom.llm.common import kept_small, map_batches, mix64, release_shuffles, sliced, text_of
 from tallyloom.llm.components import components
 from tallyloom.plans.storage import materialize
 
@@ -311,6 +311,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = materialize(_survey(rows), "shingled")
     members = first.where("kind = 0").select("doc_id", "n", "cls")
     met = materialize(_meetings(rows, _grains(first), _frequencies(first)), "met")
+    release_shuffles(met)
     classes = members.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
     roots = _linked(rows, met, classes)
     named = classes.select("cls", F.col("doc_id").alias("least"))
@@ -342,6 +343,7 @@ def _linked(rows: DataFrame, met: DataFrame, classes: DataFrame) -> DataFrame |
     sets = _sets_of(rows, classes.join(asked, "cls").where("doc_id IS NOT NULL"))
     links = materialize(_verified(best, sets), "links")
     roots = components(links)
+    release_shuffles(links)
 
     inside = met.select("sig", "cls").union(met.select("sig", F.col("pivot").alias("cls"))).distinct()
     inside = inside.join(classes.select("cls", "n"), "cls")
