@@ -41,3 +41,12 @@ def test_materialized_rows_come_from_files(spark):
     assert sorted(tuples(read)) == sorted(tuples(df))
     assert read.dtypes == df.dtypes
     assert read.inputFiles()
+
+
+def test_the_setting_for_shuffle_files_is_left_as_it_was(spark):
+    before = spark.conf.get(storage.FILE_CLEANUP)
+    counted = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    read = storage.materialize(counted, "counted")
+    assert spark.conf.get(storage.FILE_CLEANUP) == before
+    # What has been written and what it was written from can both be read again.
+    assert sorted(tuples(counted)) == sorted(tuples(read)) == sorted(tuples(storage.materialize(counted, "again")))
