@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -56,16 +55,6 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     return df.mapInArrow(run, schema)
 
 
-def release_shuffles(df: DataFrame) -> None:
-    """Let Spark drop the shuffle files of what has been written since.
-
-    They go when the driver's collectors find nobody using them, which may come
-    late on a driver with little to do; tables that are written are not affected.
-    """
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 

@@ -22,15 +22,15 @@ of 64-bit hashes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import kept_small, map_batches, mix64, release_shuffles, sliced, text_of
+from tallyloom.llm.common import kept_small, map_batches, mix64, sliced, text_of
 from tallyloom.llm.components import components
 from tallyloom.plans.storage import materialize
 
@@ -42,7 +42,6 @@ _BLOCK = 1 << 12
 GRAINS = (3.0, 1.5, 0.0)
 #: Signatures that a task combines before it passes them on.
 _CHUNK = 1 << 19
-_CACHED = 200_000
 #: Larger segments are compared in blocks of so many sets.
 PAIRWISE, BLOCK = 32, 256
 _COLUMNS = 4096
@@ -51,23 +50,56 @@ _SHORT = np.uint64(0xFFFFFFFFFFFF)
 _POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh64_intdigest(word)
-        return found
+#: Bytes whose words are hashed at a time; a longer word is hashed as a whole.
+_PART = 1 << 16
+_BLANK = re.compile(rb"[\x20\x09-\x0d]")
+#: A value for each byte: none for blanks, the same for a letter in either case.
+_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * _POWERS[0])
+_VALUES[65:91] = _VALUES[97:123]
+_VALUES[[9, 10, 11, 12, 13, 32]] = 0
 
 
 class Shingler:
-    """Distinct shingle hashes of a text, sorted; the hash of a word is looked up once."""
+    """Distinct shingle hashes of a text, sorted.
+
+    A word's hash is a polynomial in its bytes' values: the sum of values times
+    powers over the whole text, divided by the power at the word's first byte.
+    """
 
     def __init__(self, width: int = WIDTH) -> None:
-        self.width, self.known = width, _Words()
+        self.width = width
+        self._powers(1 << 13)
+
+    def _powers(self, n: int) -> None:
+        base = int(_POWERS[1])
+        steps = np.array([base, pow(base, -1, 1 << 64)], np.uint64)[:, None].repeat(n, axis=1)
+        steps[:, 0] = 1
+        self.up, self.down = np.multiply.accumulate(steps, axis=1)
+
+    def _codes(self, data: bytes) -> np.ndarray:
+        values = _VALUES[np.frombuffer(data, np.uint8)]
+        inside = values != 0
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        starts = np.nonzero(first)[0]
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        if len(values) > len(self.up):
+            self._powers(1 << (len(values) - 1).bit_length())
+        return mix64(np.add.reduceat(values * self.up[: len(values)], starts) * self.down[starts])
+
+    def words(self, text: str) -> np.ndarray:
+        """A hash per word."""
+        data, begin, found = text.encode("utf-8", "replace"), 0, []
+        while begin < len(data):
+            blank = _BLANK.search(data, begin + _PART)
+            end = blank.start() if blank else len(data)
+            found.append(self._codes(data[begin:end]))
+            begin = end
+        return found[0] if len(found) == 1 else np.concatenate([np.zeros(0, np.uint64), *found])
 
     def __call__(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8", "replace").lower().split()
-        if len(self.known) > _CACHED:
-            self.known.clear()
-        codes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        codes = self.words(text)
         n = len(codes)
         if not n:
             return codes
@@ -76,7 +108,9 @@ class Shingler:
         total = np.zeros(n - self.width + 1, np.uint64)
         for k in range(self.width):
             total += codes[k : n - self.width + 1 + k] * _POWERS[k % len(_POWERS)]
-        return np.unique(mix64(total))
+        hashes = mix64(total)
+        hashes.sort()
+        return hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])]
 
 
 def most_apart(n: int, band: int) -> int:
@@ -252,46 +286,65 @@ def _meetings(docs: DataFrame, grains: dict[int, float], counts: np.ndarray) ->
     return met.selectExpr("sig", "cls", "coalesce(local, least) AS pivot").where("cls <> pivot")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that link."""
-    left, right = (sets.selectExpr(f"cls AS {x}", f"data AS {x}_data") for x in "ab")
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "a_data", "b_data")
+def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that link. Texts are smaller than their sets, so texts travel."""
+    left, right = (rows.selectExpr(f"cls AS {x}", f"text AS {x}_text") for x in "ab")
+    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
 
     def make():
+        shingler, last = Shingler(), {}
+
+        def set_of(side: str, cls: int, text: str) -> np.ndarray | None:
+            # Pairs come in the order of a class, whose set is made once in a row.
+            if side not in last or last[side][:2] != (cls, text):
+                sets = shingler(text)
+                last[side] = cls, text, sets if set_id(sets) == cls else None  # another row may have the id
+            return last[side][2]
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
-                both.sort(kind="stable")
+            for a, b, a_text, b_text in zip(*(column.to_pylist() for column in batch.columns)):
+                x, y = set_of("a", a, a_text), set_of("b", b, b_text)
+                if x is None or y is None:
+                    keep.append(False)
+                    continue
+                both = np.concatenate([x, y])
+                both.sort()
                 common = np.count_nonzero(both[1:] == both[:-1])
                 keep.append(100 * common >= 75 * (len(both) - common))
-            return batch.select([0, 1]).filter(pa.array(keep))
+            return batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
         return step
 
     return map_batches(joined, make, "a long, b long")
 
 
-def _sets_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(cls, data): the sets of the representatives of these classes."""
+def _rows_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(cls, text): the texts of the representatives of these classes."""
     wanted, _ = kept_small(reps.select("doc_id", "cls"), 32, "candidates")
-    rows = docs.join(wanted, "doc_id").select("cls", "text")
+    return materialize(docs.join(wanted, "doc_id").select("cls", "text"), "texts")
+
+
+def _sets_of(rows: DataFrame) -> DataFrame:
+    """The rows with ``data``, the set, for ``text``, which is the second column."""
+    names = [c for c in rows.columns if c != "text"]
 
     def make():
         shingler = Shingler()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            classes, data = [], []
-            for cls, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            keep, data = [], []
+            for k, (cls, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 sets = shingler(text)
                 if set_id(sets) == cls:  # another row may have the id
-                    classes.append(cls)
+                    keep.append(k)
                     data.append(sets.tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(data, pa.binary())], ["cls", "data"])
+            rest = batch.select([0, *range(2, batch.num_columns)]).take(pa.array(keep, pa.int64()))
+            return pa.RecordBatch.from_arrays([*rest.columns, pa.array(data, pa.binary())], [*names, "data"])
 
         return step
 
-    return materialize(map_batches(rows, make, "cls long, data binary"), "sets")
+    return map_batches(rows, make, rows.select(*names, F.lit(None).cast("binary").alias("data")).schema)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -311,7 +364,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = materialize(_survey(rows), "shingled")
     members = first.where("kind = 0").select("doc_id", "n", "cls")
     met = materialize(_meetings(rows, _grains(first), _frequencies(first)), "met")
-    release_shuffles(met)
     classes = members.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
     roots = _linked(rows, met, classes)
     named = classes.select("cls", F.col("doc_id").alias("least"))
@@ -340,10 +392,9 @@ def _linked(rows: DataFrame, met: DataFrame, classes: DataFrame) -> DataFrame |
     shared = shared.join(sizes[0], "a").join(sizes[1], "b").where(_SIZES_FIT)
     best = shared.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
     asked = met.select("cls").union(met.select("pivot")).distinct()
-    sets = _sets_of(rows, classes.join(asked, "cls").where("doc_id IS NOT NULL"))
-    links = materialize(_verified(best, sets), "links")
+    texts = _rows_of(rows, classes.join(asked, "cls").where("doc_id IS NOT NULL"))
+    links = materialize(_verified(best, texts), "links")
     roots = components(links)
-    release_shuffles(links)
 
     inside = met.select("sig", "cls").union(met.select("sig", F.col("pivot").alias("cls"))).distinct()
     inside = inside.join(classes.select("cls", "n"), "cls")
@@ -361,14 +412,14 @@ def _linked(rows: DataFrame, met: DataFrame, classes: DataFrame) -> DataFrame |
     small, large = open_.where(F.col("size") <= PAIRWISE), open_.where(F.col("size") > PAIRWISE)
     a, b = (small.selectExpr("sig", f"cls AS {x}", f"root AS {x}_root", f"n AS {x}_n") for x in "ab")
     across = a.join(b, "sig").where("a < b AND a_root <> b_root AND " + _SIZES_FIT).select("a", "b").distinct()
-    more = _verified(across, sets)
+    more = _verified(across, texts)
     if not large.isEmpty():
-        more = more.unionByName(_in_blocks(large, sets))
+        more = more.unionByName(_in_blocks(large, texts))
     more = materialize(more, "links")
     return roots if more.isEmpty() else components(links.unionByName(more))
 
 
-def _in_blocks(large: DataFrame, sets: DataFrame) -> DataFrame:
+def _in_blocks(large: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): links across components among sets that large segments hold together.
 
     Segments that have a set in common make one family; a family is dealt into
@@ -380,7 +431,8 @@ def _in_blocks(large: DataFrame, sets: DataFrame) -> DataFrame:
     counts = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(counts, "family").withColumn("own", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
     met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "own").alias("i"), F.greatest(k, "own").alias("j")))
-    dealt = dealt.join(sets, "cls").withColumn("met", F.explode(met)).select("family", "met.i", "met.j", "own", "cls", "root", "data")
+    dealt = _sets_of(dealt.join(texts, "cls").select("cls", "text", "family", "blocks", "own", "root"))
+    dealt = dealt.withColumn("met", F.explode(met)).select("family", "met.i", "met.j", "own", "cls", "root", "data")
 
     def compared(table: pa.Table) -> pa.Table:
         own = table.column("own").to_numpy()
