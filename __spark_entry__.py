@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.survey import ActivityColumns, classify_columns
@@ -21,6 +21,10 @@ VOCABULARY = ("the", "The", "und", "la", "C++", "zzz")
 SETTINGS = clusters.ClusterSettings(
     languages=("1-URGENT", "2-HIGH", "3-MEDIUM"), kernels=9, eta=1.0
 )
+# Start means sampled without regard to language.
+NARROW = clusters.ClusterSettings(languages=SETTINGS.languages, spread=100, kernels=9, eta=1.0)
+# More than Spark's limit for cutting windows short.
+MANY_PER_LANGUAGE = 2_000
 # Small enough that questions and keywords of the test tables fill several bags.
 BAG_SIZE = 3
 FIXED_MEANS = [(0, 3), (0, 12), (0, 20), (50_000, 5), (50_000, 12), (50_000, 19), (100_000, 12), (100_000, 24), (400_000, 0)]
@@ -104,6 +108,29 @@ def rank_large_zeros(spark: SparkSession, sf: str) -> DataFrame:
     return mentions.rank_all(tables.articles(spark, sf), [*_large_vocabulary(spark, sf), "never found"])
 
 
+def index_large(spark: SparkSession, sf: str) -> DataFrame:
+    return mentions.index_articles(tables.articles(spark, sf), _large_vocabulary(spark, sf), columns=("title",))
+
+
+def mention_bag_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Per keyword what its bags hold in all, and how many bags say something else than they hold."""
+    index = mentions.index_articles(tables.articles(spark, sf), VOCABULARY)
+    bags = mentions.bag_index(index, bag_size=BAG_SIZE, bag_bytes=4096)
+    held = F.aggregate("articles", F.lit(0).cast("bigint"), lambda total, a: total + a["copies"])
+    return bags.groupBy("keyword").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.size("articles")).alias("distinct_articles"),
+        F.sum((held != F.col("n")).cast("int")).alias("wrong"),
+    )
+
+
+def ranks_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    lines = article_lines(tables.articles(spark, sf))
+    rankings = flows.rank_articles(spark, _written_lines(lines, "articles"), VOCABULARY)
+    named = [ranked.select(F.lit(name).alias("ranking"), "keyword", "n") for name, ranked in zip(rankings._fields, rankings)]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 def rank_reduce(spark: SparkSession, sf: str) -> DataFrame:
     return mentions.rank_by_count(tables.articles(spark, sf), VOCABULARY)
 
@@ -136,6 +163,19 @@ def postings_placed(spark: SparkSession, sf: str) -> DataFrame:
     return postings.place_by_key(tables.postings(spark, sf), NUM_PARTITIONS)
 
 
+def postings_placement(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, partitions, and how many partitions begin before the one ahead of them ends."""
+    placed = postings.place_by_key(tables.postings(spark, sf), NUM_PARTITIONS)
+    place = F.struct("key", "id")
+    ranges = placed.select(F.spark_partition_id().alias("part"), place.alias("place")).groupBy("part").agg(
+        F.min("place").alias("low"), F.max("place").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    ahead = F.lag("high").over(Window.orderBy("part"))  # a row per partition
+    return ranges.withColumn("overlaps", F.coalesce(F.col("low") <= ahead, F.lit(False)).cast("int")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("partitions"), F.sum("overlaps").alias("overlaps")
+    )
+
+
 def postings_join(spark: SparkSession, sf: str) -> DataFrame:
     return postings.pair_postings(tables.postings(spark, sf)).select(
         "qid",
@@ -154,6 +194,17 @@ def postings_grouped(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def postings_bag_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Per question what its bags hold in all, and how many bags say something else than they hold."""
+    bags = postings.group_postings(tables.postings(spark, sf), bag_size=BAG_SIZE, bag_bytes=256)
+    held = F.aggregate("pairs", F.lit(0).cast("bigint"), lambda total, p: total + p["copies"])
+    return bags.groupBy("qid").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.size("pairs")).alias("distinct_pairs"),
+        F.sum((held != F.col("n")).cast("int")).alias("wrong"),
+    )
+
+
 def postings_scored(spark: SparkSession, sf: str) -> DataFrame:
     return postings.score_postings(tables.postings(spark, sf))
 
@@ -177,6 +228,10 @@ def sample_stratified(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.stratified_sample(postings_vectors(spark, sf), SETTINGS.per_language)
 
 
+def sample_stratified_large(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.stratified_sample(postings_vectors(spark, sf), MANY_PER_LANGUAGE)
+
+
 def sample_exact(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.exact_sample(postings_vectors(spark, sf), SAMPLE_SIZE)
 
@@ -194,6 +249,11 @@ def kmeans_means(spark: SparkSession, sf: str) -> DataFrame:
     return flows.cluster_questions(postings_vectors(spark, sf), SETTINGS).clustering.means_frame(spark)
 
 
+def kmeans_small_spread(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = postings.vectorize(postings_scored(spark, sf), NARROW.languages, NARROW.spread)
+    return flows.cluster_questions(vectors, NARROW).clustering.means_frame(spark)
+
+
 def kmeans_history(spark: SparkSession, sf: str) -> DataFrame:
     return flows.cluster_questions(postings_vectors(spark, sf), SETTINGS).clustering.history_frame(spark)
 
@@ -202,6 +262,11 @@ def cluster_summary(spark: SparkSession, sf: str) -> DataFrame:
     return flows.cluster_questions(postings_vectors(spark, sf), SETTINGS).summary
 
 
+def clusters_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = _written_lines(posting_lines(tables.postings(spark, sf)), "postings")
+    return flows.cluster_postings(spark, path, SETTINGS).summary
+
+
 def cluster_report(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.format_report(cluster_summary(spark, sf))
 
@@ -279,12 +344,13 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         article_parse, article_parse_permissive, article_parse_rejects,
         mention_occurrences, mention_index, mention_index_bags,
         rank_naive, rank_index, rank_index_bags, rank_reduce, rank_large, rank_large_zeros,
+        index_large, mention_bag_shapes, ranks_from_files,
         postings_parse, postings_parse_permissive, postings_parse_rejects,
-        postings_placed, postings_join, postings_grouped,
+        postings_placed, postings_placement, postings_join, postings_grouped, postings_bag_shapes,
         postings_scored, postings_scored_pairs, postings_vectors, postings_vectors_matched,
-        sample_stratified, sample_exact, nearest_center,
-        kmeans_step, kmeans_means, kmeans_history,
-        cluster_summary, cluster_report, cluster_medians,
+        sample_stratified, sample_stratified_large, sample_exact, nearest_center,
+        kmeans_step, kmeans_means, kmeans_small_spread, kmeans_history,
+        cluster_summary, cluster_report, cluster_medians, clusters_from_files,
         survey_read, survey_classified, survey_summary,
         survey_grouped, survey_grouped_sql, survey_grouped_typed, survey_from_files,
     )}
@@ -334,14 +400,29 @@ scored AS (
   SELECT {_QUESTION}, greatest(max(a.score), 0) AS high_score
   FROM questions q JOIN answers a ON q.id = a.parent_id GROUP BY {_QUESTION})"""
 _POSITION = f"coalesce(list_position({_list(SETTINGS.languages)}, tags), 0)"
-_VECTORS = f"""{_SCORED},
+
+
+def _vectors(spread: int) -> str:
+    return f"""{_SCORED},
 vectors AS (
-  SELECT id AS qid, CAST(greatest({_POSITION} - 1, 0) * {SETTINGS.spread} AS INTEGER) AS x, high_score AS y
+  SELECT id AS qid, CAST(greatest({_POSITION} - 1, 0) * {spread} AS INTEGER) AS x, high_score AS y
   FROM scored)"""
+
+
+_VECTORS = _vectors(SETTINGS.spread)
 _ORDER = f"md5(concat('{sampling.SEED}:', qid))"
-_SAMPLED = f"""sampled AS (
+
+
+def _sampled(per_language: int) -> str:
+    return f"""sampled AS (
   SELECT * FROM (SELECT qid, x, y, row_number() OVER (PARTITION BY x ORDER BY {_ORDER}, y) AS rn FROM vectors) s
-  WHERE rn <= {SETTINGS.per_language})"""
+  WHERE rn <= {per_language})"""
+
+
+_SAMPLED = _sampled(SETTINGS.per_language)
+_SAMPLED_EXACT = f"""sampled AS (
+  SELECT * FROM (SELECT qid, x, y, row_number() OVER (ORDER BY {_ORDER}, x, y) AS rn FROM vectors) s
+  WHERE rn <= {NARROW.kernels})"""
 _FIXED_MEANS = "m AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {x}, {y})" for i, (x, y) in enumerate(FIXED_MEANS)) + ") v(idx, cx, cy))"
 
 
@@ -363,12 +444,20 @@ def _moved(means: str) -> str:
     FROM ({_assigned('points', means, 'x, y, w')}) c GROUP BY cluster) a ON a.cluster = m.idx"""
 
 
-_POINTS = f"{_VECTORS}, points AS MATERIALIZED (SELECT x, y, count(*) AS w FROM vectors GROUP BY x, y)"
-_CLUSTERED = ",\n".join(
-    [f"{_POINTS}, {_SAMPLED}",
-     "m0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY x, rn) - 1 AS INTEGER) AS idx, x AS cx, y AS cy FROM sampled)"]
-    + [f"m{i + 1} AS MATERIALIZED ({_moved(f'm{i}')})" for i in range(UNROLLED)]
-)
+_WEIGHED = "points AS MATERIALIZED (SELECT x, y, count(*) AS w FROM vectors GROUP BY x, y)"
+_POINTS = f"{_VECTORS}, {_WEIGHED}"
+
+
+def _clustered(points: str, sampled: str, order: str) -> str:
+    return ",\n".join(
+        [f"{points}, {sampled}",
+         f"m0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) AS idx, x AS cx, y AS cy FROM sampled)"]
+        + [f"m{i + 1} AS MATERIALIZED ({_moved(f'm{i}')})" for i in range(UNROLLED)]
+    )
+
+
+_CLUSTERED = _clustered(_POINTS, _SAMPLED, "x, rn")
+_CLUSTERED_NARROW = _clustered(f"{_vectors(NARROW.spread)}, {_WEIGHED}", _SAMPLED_EXACT, "rn")
 _HISTORY = " UNION ALL ".join(
     f"""SELECT CAST({i + 1} AS INTEGER) AS iteration, o.idx, CAST(o.cx AS BIGINT) AS old_x, CAST(o.cy AS BIGINT) AS old_y,
   n.cx AS new_x, n.cy AS new_y, CAST((o.cx - n.cx) * (o.cx - n.cx) + (o.cy - n.cy) * (o.cy - n.cy) AS DOUBLE) AS distance
@@ -428,10 +517,21 @@ GROUP BY w.keyword, w.position ORDER BY n DESC, w.position DESC""",
         "rank_reduce": _RANKED,
         "rank_large": f"WITH {_LARGE} SELECT keyword, n FROM counted",
         "rank_large_zeros": f"WITH {_LARGE} SELECT keyword, coalesce(n, 0) AS n FROM (SELECT keyword FROM large UNION ALL SELECT 'never found') LEFT JOIN counted USING (keyword)",
+        "index_large": f"WITH {_LARGE} SELECT keyword, title FROM told JOIN large USING (keyword)",
+        "mention_bag_shapes": f"""WITH {_HITS}
+SELECT keyword, count(*) AS n, count(DISTINCT (title, text)) AS distinct_articles, CAST(0 AS BIGINT) AS wrong FROM hits GROUP BY keyword""",
+        "ranks_from_files": f"""WITH {_ARTICLES.replace(" text FROM", f" {_ONE_LINE} AS text FROM")}, {_HITS.removeprefix(_ARTICLES + ", ")},
+found AS (SELECT keyword, count(*) AS n FROM hits GROUP BY keyword)
+SELECT 'all_keywords' AS ranking, keyword, coalesce(n, 0) AS n FROM words LEFT JOIN found USING (keyword)
+UNION ALL SELECT 'by_index', keyword, n FROM found UNION ALL SELECT 'by_count', keyword, n FROM found""",
         "postings_parse": f"WITH {_POSTINGS} SELECT * FROM questions UNION ALL SELECT * FROM answers",
         "postings_parse_permissive": "SELECT CAST(1 AS INTEGER) AS posting_type, o_orderkey AS id, CAST(0 AS INTEGER) AS score, o_orderpriority AS tags FROM orders WHERE o_orderstatus <> 'P'",
         "postings_parse_rejects": "SELECT concat('1,', o_orderkey, ',,,n/a,', o_orderpriority) AS value FROM orders WHERE o_orderstatus = 'P'",
         "postings_placed": f"WITH {_POSTINGS} SELECT id AS key, * FROM questions UNION ALL SELECT coalesce(parent_id, 0) AS key, * FROM answers",
+        "postings_placement": f"WITH {_POSTINGS} SELECT (SELECT count(*) FROM questions) + (SELECT count(*) FROM answers) AS n, CAST({NUM_PARTITIONS} AS BIGINT) AS partitions, CAST(0 AS BIGINT) AS overlaps",
+        "postings_bag_shapes": f"""WITH {_POSTINGS}
+SELECT q.id AS qid, count(*) AS n, count(DISTINCT (q, a)) AS distinct_pairs, CAST(0 AS BIGINT) AS wrong
+FROM questions q JOIN answers a ON q.id = a.parent_id GROUP BY q.id""",
         "postings_join": f"WITH {_POSTINGS} SELECT q.id AS qid, {side['question']}, {side['answer']} FROM questions q JOIN answers a ON q.id = a.parent_id",
         "postings_grouped": f"""WITH {_POSTINGS}
 SELECT q.id AS qid, q.tags, a.id AS answer_id, a.score AS answer_score, count(*) AS copies
@@ -442,15 +542,18 @@ FROM questions q JOIN answers a ON q.id = a.parent_id GROUP BY q.id, q.tags, a.i
         "postings_vectors_matched": f"""WITH {_SCORED}
 SELECT id AS qid, CAST(({_POSITION} - 1) * {SETTINGS.spread} AS INTEGER) AS x, high_score AS y FROM scored WHERE {_POSITION} > 0""",
         "sample_stratified": f"WITH {_VECTORS}, {_SAMPLED} SELECT qid, x, y, CAST(rn AS INTEGER) AS rn FROM sampled",
+        "sample_stratified_large": f"WITH {_VECTORS}, {_sampled(MANY_PER_LANGUAGE)} SELECT qid, x, y, CAST(rn AS INTEGER) AS rn FROM sampled",
         "sample_exact": f"WITH {_VECTORS} SELECT qid, x, y FROM vectors ORDER BY {_ORDER}, x, y LIMIT {SAMPLE_SIZE}",
         "nearest_center": f"WITH {_VECTORS}, {_FIXED_MEANS} {_assigned('vectors', 'm', 'qid, x, y')}",
         "kmeans_step": f"WITH {_POINTS}, {_FIXED_MEANS} {_moved('m')}",
         "kmeans_means": f"WITH {_CLUSTERED} SELECT idx, cx, cy FROM m{UNROLLED}",
+        "kmeans_small_spread": f"WITH {_CLUSTERED_NARROW} SELECT idx, cx, cy FROM m{UNROLLED}",
         "kmeans_history": f"""WITH {_CLUSTERED}, steps AS ({_HISTORY}),
 last AS (SELECT min(iteration) AS iteration FROM (SELECT iteration FROM steps GROUP BY iteration HAVING sum(distance) < {SETTINGS.eta}) s)
 SELECT steps.* FROM steps, last WHERE steps.iteration <= last.iteration""",
         "cluster_summary": f"WITH {_SUMMARY} SELECT * FROM summary ORDER BY median, lang, size",
-        "cluster_report": f"WITH {_SUMMARY} SELECT printf({_text(clusters.REPORT_LINE)}, median, lang, pct_int, size) AS line FROM summary ORDER BY median, lang, size",
+        "cluster_report": f"WITH {_SUMMARY} SELECT printf({_text(clusters.REPORT_LINE)}, median, lang, pct_int, size) AS line, CAST(row_number() OVER (ORDER BY median, lang, size, pct) AS INTEGER) AS position FROM summary",
+        "clusters_from_files": f"WITH {_SUMMARY} SELECT * FROM summary ORDER BY median, lang, size",
         "cluster_medians": "SELECT o_orderpriority, CAST(trunc(median(CAST(round(o_totalprice * 100) AS INTEGER))) AS INTEGER) AS median FROM orders GROUP BY o_orderpriority",
         "survey_read": f"WITH {_SURVEY} SELECT * FROM survey",
         "survey_classified": f"WITH {_SURVEY} " + " UNION ALL ".join(

@@ -2,8 +2,9 @@
 
 Equal rows are counted before anything is collected, so a crowd of copies is
 one struct with its number of ``copies``. A key with more rows than the bag size
-is spread over several bags by a hash of the row. The hash depends on the row
-alone, hence a task that is run again puts it into the same bag.
+or bytes is spread over several bags by a hash of the row. The hash depends on the
+row alone, hence a task that is run again puts it into the same bag. Both bounds
+are those of a bag on average.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BAG_SIZE = 10_000
+# Bytes of the rows of a bag, so that one of long texts still fits into an array.
+BAG_BYTES = 64 * 1024 * 1024
 # Longest array made to number the bags of one key.
 BLOCK = 4096
 
@@ -30,11 +33,16 @@ def distinct_rows() -> Column:
     return F.sum(F.least("copies", F.lit(1)))
 
 
-def bags_for(rows: Column, bag_size: int) -> Column:
-    """Number of bags that so many rows of a key fill."""
-    if bag_size < 1:
-        raise ValueError("bag_size must be positive")
-    return F.ceil(rows / bag_size).cast("bigint")
+def total_bytes(row: Column) -> Column:
+    """Aggregate: bytes of the rows of a group, by their length as text."""
+    return F.sum(F.octet_length(row.cast("string")).cast("bigint"))
+
+
+def bags_for(rows: Column, size: Column, bag_size: int, bag_bytes: int) -> Column:
+    """Number of bags that so many rows of a key, of so many bytes in all, fill."""
+    if bag_size < 1 or bag_bytes < 1:
+        raise ValueError("bag_size and bag_bytes must be positive")
+    return F.greatest(F.ceil(rows / bag_size), F.ceil(size / bag_bytes)).cast("bigint")
 
 
 def bag_of(item: Column, bags: str) -> Column:

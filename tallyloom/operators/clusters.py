@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -131,6 +132,8 @@ def kmeans(
 ) -> Clustering:
     """Lloyd's iterations over weighted points until the means move less than ``eta``.
 
+    Ends with a warning, and ``converged`` false, at the bound of iterations.
+
     ``eta`` bounds the sum of squared distances. Each iteration is one job that
     shuffles and returns at most k partial sums per task. ``points`` should be
     read from storage (``plans.storage.materialize``), so that an executor
@@ -150,6 +153,8 @@ def kmeans(
                 for i, (before, after) in enumerate(zip(old, new))
             ]
             if distance < eta or iteration >= max_iterations:
+                if distance >= eta:
+                    warnings.warn(f"means still moved by {distance} after {iteration} iterations", stacklevel=2)
                 return Clustering(new, iteration, distance, distance < eta, history)
             old = new
     finally:
@@ -238,7 +243,13 @@ def summarize_clusters(
 
 
 def format_report(summary: DataFrame) -> DataFrame:
-    """Cluster summary as report lines in a column ``line``, in the order of the summary."""
+    """Cluster summary as report lines ``(position, line)``, numbered from 1 in the order of the summary.
+
+    The numbers keep the order when the lines are written; they are given in one
+    task, which has as many rows as there are clusters.
+    """
+    order = Window.orderBy("median", "lang", "size", "pct")
     return summary.select(
+        F.row_number().over(order).alias("position"),
         F.format_string(REPORT_LINE, "median", "lang", "pct_int", "size").alias("line")
     )

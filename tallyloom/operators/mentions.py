@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.tokens import checked_vocabulary, mentioned, mentions, tokens
-from tallyloom.operators.bags import BAG_SIZE, bag_of, bags_for, distinct_rows, with_copies
+from tallyloom.operators.bags import (
+    BAG_BYTES, BAG_SIZE, bag_of, bags_for, distinct_rows, total_bytes, with_copies,
+)
 from tallyloom.operators.skew import shuffled_for_join
 
 # Above this, comparing every article with the whole vocabulary costs more than a join.
@@ -68,7 +70,10 @@ def _broadcastable(keywords: list[str]) -> Iterator[list[str]]:
 
 
 def bag_index(
-    index: DataFrame, columns: Sequence[str] = ("title", "text"), bag_size: int = BAG_SIZE
+    index: DataFrame,
+    columns: Sequence[str] = ("title", "text"),
+    bag_size: int = BAG_SIZE,
+    bag_bytes: int = BAG_BYTES,
 ) -> DataFrame:
     """Inverted index in nested form: ``(keyword, bag, n, articles)`` with bounded arrays.
 
@@ -77,7 +82,8 @@ def bag_index(
     grouping too, and Spark could not split a hot keyword there.
     """
     counted = with_copies(index.select("keyword", *columns))
-    bags = counted.groupBy("keyword").agg(bags_for(distinct_rows(), bag_size).alias("bags"))
+    size = total_bytes(F.struct(*columns))
+    bags = counted.groupBy("keyword").agg(bags_for(distinct_rows(), size, bag_size, bag_bytes).alias("bags"))
     return (
         counted.join(shuffled_for_join(bags), "keyword")
         .withColumn("bag", bag_of(F.struct(*columns), "bags"))
@@ -93,7 +99,12 @@ def rank_by_count(articles: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     Only keywords and partial counts are shuffled.
     """
     keywords = checked_vocabulary(vocabulary)
-    counted = _count_all(articles, keywords).where("n > 0")
+    return rank_found(_found(articles, keywords), keywords)
+
+
+def rank_found(found: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+    """``rank_by_count`` from rows that each mention the ``keyword`` they hold."""
+    counted = _count_all(found, checked_vocabulary(vocabulary)).where("n > 0")
     return counted.select("keyword", "n").orderBy(F.desc("n"), "keyword")
 
 
@@ -103,29 +114,40 @@ def rank_all(articles: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     By falling count; among equal counts the later keyword comes first.
     """
     keywords = checked_vocabulary(vocabulary)
+    return rank_all_found(_found(articles, keywords), keywords)
+
+
+def rank_all_found(found: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+    """``rank_all`` from rows that each mention the ``keyword`` they hold."""
     return (
-        _count_all(articles, keywords)
+        _count_all(found, checked_vocabulary(vocabulary))
         .orderBy(F.desc("n"), F.desc("position"))
         .select("keyword", "n")
     )
 
 
-def _count_all(articles: DataFrame, keywords: list[str]) -> DataFrame:
-    """``(keyword, position, n)`` for every keyword, in one scan and one shuffle.
+def _found(articles: DataFrame, keywords: list[str]) -> DataFrame:
+    """Mentions as rows ``(keyword)``, in one scan.
+
+    Of a vocabulary too large to broadcast it has all tokens instead, which are
+    counted in one shuffle where the index would scan the articles once per part.
+    """
+    if len(list(_broadcastable(keywords))) == 1:
+        return index_articles(articles, keywords, columns=())
+    return articles.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("keyword"))
+
+
+def _count_all(found: DataFrame, keywords: list[str]) -> DataFrame:
+    """``(keyword, position, n)`` for every keyword, in one shuffle.
 
     The vocabulary joins the mentions as rows that weigh nothing, which keeps
     keywords without a mention without a join. Only keywords are shuffled, summed
-    up before; a vocabulary too large to broadcast shuffles all tokens instead of
-    scanning the articles once per part.
+    up before.
     """
-    if len(list(_broadcastable(keywords))) == 1:
-        found = index_articles(articles, keywords, columns=())
-    else:
-        found = articles.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("keyword"))
     mentions_found = found.select(
         "keyword", F.lit(None).cast("int").alias("position"), F.lit(1).alias("weight")
     )
-    words = _vocabulary_rows(articles, keywords).withColumn("weight", F.lit(0))
+    words = _vocabulary_rows(found, keywords).withColumn("weight", F.lit(0))
     return (
         mentions_found.unionByName(words)
         .groupBy("keyword")

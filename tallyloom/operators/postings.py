@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.postings import ANSWER, QUESTION, language_position, posting_key
 from tallyloom.functions.tokens import LANGUAGES
 from tallyloom.operators.bags import (
-    BAG_SIZE, bag_of, bags_for, distinct_rows, in_every_bag, with_copies,
+    BAG_BYTES, BAG_SIZE, bag_of, bags_for, distinct_rows, in_every_bag, total_bytes, with_copies,
 )
 from tallyloom.operators.skew import shuffled_for_join
 from tallyloom.sources.postings import SCHEMA
@@ -75,7 +75,9 @@ def pair_postings(postings: DataFrame, strict: bool = True) -> DataFrame:
     return questions.join(answers, "qid")
 
 
-def group_postings(postings: DataFrame, bag_size: int = BAG_SIZE, strict: bool = True) -> DataFrame:
+def group_postings(
+    postings: DataFrame, bag_size: int = BAG_SIZE, strict: bool = True, bag_bytes: int = BAG_BYTES
+) -> DataFrame:
     """Pairs nested per question: ``(qid, bag, n, pairs)`` with bounded arrays.
 
     ``pairs`` holds ``struct(question, answer, copies)`` and stands for ``n``
@@ -87,13 +89,19 @@ def group_postings(postings: DataFrame, bag_size: int = BAG_SIZE, strict: bool =
     questions, answers = (with_copies(side) for side in _sides(postings, strict))
     asked, answered = F.col("asked"), F.col("answered")
     per_bag = F.least(asked, F.lit(bag_size))
+    # Of the pairs of a question bag: its questions once per answer, and the other way round.
+    paired = answered * F.least(F.col("asked_bytes"), F.lit(bag_bytes)) + per_bag * F.col("answered_bytes")
     bags = (
-        questions.groupBy("qid").agg(distinct_rows().alias("asked"))
-        .join(answers.groupBy("qid").agg(distinct_rows().alias("answered")), "qid")
+        questions.groupBy("qid").agg(distinct_rows().alias("asked"), total_bytes(F.col("question")).alias("asked_bytes"))
+        .join(
+            answers.groupBy("qid")
+            .agg(distinct_rows().alias("answered"), total_bytes(F.col("answer")).alias("answered_bytes")),
+            "qid",
+        )
         .select(
             "qid",
-            bags_for(asked, bag_size).alias("question_bags"),
-            bags_for(answered * per_bag, bag_size).alias("answer_bags"),
+            bags_for(asked, F.col("asked_bytes"), bag_size, bag_bytes).alias("question_bags"),
+            bags_for(answered * per_bag, paired, bag_size, bag_bytes).alias("answer_bags"),
         )
     )
     bags = shuffled_for_join(bags)

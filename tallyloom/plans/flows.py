@@ -23,12 +23,17 @@ class Rankings(NamedTuple):
 
 
 def rank_articles(spark: SparkSession, path: str, vocabulary: Sequence[str] = LANGUAGES) -> Rankings:
-    """The three rankings of keywords over an article file."""
-    articles = read_articles(spark, path)
+    """The three rankings of keywords over an article file.
+
+    The file is read and split once: its mentions are written, and the rankings
+    read them.
+    """
+    index = mentions.index_articles(read_articles(spark, path), vocabulary, columns=())
+    found = materialize(index, "mentions")
     return Rankings(
-        mentions.rank_all(articles, vocabulary),
-        mentions.rank_by_index(mentions.index_articles(articles, vocabulary)),
-        mentions.rank_by_count(articles, vocabulary),
+        mentions.rank_all_found(found, vocabulary),
+        mentions.rank_by_index(found),
+        mentions.rank_found(found, vocabulary),
     )
 
 
@@ -58,8 +63,13 @@ def cluster_questions(
 def cluster_postings(
     spark: SparkSession, path: str, settings: clusters.ClusterSettings = clusters.ClusterSettings()
 ) -> ClusteredQuestions:
-    """Clusters of the answered questions in a postings file."""
-    scored = postings.score_postings(read_postings(spark, path))
+    """Clusters of the answered questions in a postings file.
+
+    The lines are parsed once, into a table by type, of which questions and
+    answers are a part each.
+    """
+    parsed = materialize(read_postings(spark, path), "postings", ("posting_type",))
+    scored = postings.score_postings(parsed)
     return cluster_questions(postings.vectorize(scored, settings.languages, settings.spread), settings)
 
 
@@ -70,9 +80,12 @@ class SurveyAverages(NamedTuple):
 
 
 def average_time_use(spark: SparkSession, path: str) -> SurveyAverages:
-    """Average hours per group of persons, through each of the three interfaces."""
+    """Average hours per group of persons, through each of the three interfaces.
+
+    The wide file is read once, into a summary of six columns that is written.
+    """
     names, rows = read_survey(spark, path)
-    summary = survey.summarize(rows, classify_columns(names))
+    summary = materialize(survey.summarize(rows, classify_columns(names)), "summary")
     return SurveyAverages(
         survey.grouped(summary),
         survey.grouped_sql(summary),

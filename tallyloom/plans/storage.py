@@ -45,7 +45,7 @@ def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(FILE_CLEANUP, before)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write the rows once and read them back, with the lineage cut.
 
     Whatever comes after is safe from lost executors: it reads the files again
@@ -54,5 +54,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     with _shuffles_dropped(df.sparkSession):
-        df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -202,6 +202,14 @@ def test_summary_of_clusters(spark):
     report = [r.line for r in clusters.format_report(spark.createDataFrame(rows, "lang string, pct_int double, pct double, size bigint, median int")).collect()]
     assert report[0] == "      1  A                 (0.0  %)            4"
     assert report[1] == "      9  C                 (100.0%)            3"
+    backwards = spark.createDataFrame(rows[::-1], "lang string, pct_int double, pct double, size bigint, median int")
+    assert {r.position: r.line for r in clusters.format_report(backwards).collect()} == {1: report[0], 2: report[1]}
+
+
+def test_bound_of_iterations_is_told(spark):
+    df = points(spark, [(0, 0, 1), (0, 100, 1), (0, 1000, 1)])
+    with pytest.warns(UserWarning, match="after 1 iterations"):
+        assert not clusters.kmeans(df, [(0, 0), (0, 1)], eta=1.0, max_iterations=1).converged
 
 
 def test_most_frequent_language_takes_the_lowest_on_ties(spark):

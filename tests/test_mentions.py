@@ -123,3 +123,15 @@ def test_bags_are_bounded_and_whole(spark):
     scala = [b for b in bags if b.keyword == "Scala"]
     assert [(b.n, [tuple(a) for a in b.articles]) for b in scala] == [(1000, [("copy", "Java and Scala", 1000)])]
     assert sum(len(b.articles) for b in bags) == 2002
+
+
+def test_bags_of_long_articles_are_bounded_in_bytes(spark):
+    rows = [(str(i), "Java " + "x" * 10_000) for i in range(200)] + [("long", "Java " + "y" * 500_000)]
+    index = mentions.index_articles(articles(spark, rows), ["Java"])
+    bags = mentions.bag_index(index, bag_bytes=100_000).collect()
+    assert sum(b.n for b in bags) == 201
+    sizes = [sum(len(a.text) for a in b.articles) for b in bags]
+    assert max(sizes) < 800_000 and sum(sizes) > 2_500_000
+    assert len(mentions.bag_index(index).collect()) == 1
+    with pytest.raises(ValueError):
+        mentions.bag_index(index, bag_bytes=0)
