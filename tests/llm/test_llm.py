@@ -231,6 +231,32 @@ def chains_of(a, b):
     return [c.tolist() for c in substring.chains(a, b)]
 
 
+def test_chains_take_the_best_match_in_reach():
+    random = np.random.default_rng(3)
+    for _ in range(40):
+        met = np.unique(random.integers(0, 150, (int(random.integers(2, 80)), 2)), axis=0)
+        a, b = met[:, 1], met[:, 0]
+        score = np.ones(len(a))
+        for k in range(len(a)):
+            far = np.maximum(a[k] - a[:k], b[k] - b[:k])
+            before = (a[:k] < a[k]) & (b[:k] < b[k]) & (far <= substring.GAP + substring.SEED)
+            gains = score[:k] - substring.COST * (a[k] - a[:k] + b[k] - b[:k])
+            score[k] += max(0, gains[before].max(initial=0))
+        best = chains_of(a, b)[0]
+        cost = substring.COST * (a[best[-1]] - a[best[0]] + b[best[-1]] - b[best[0]])
+        assert abs(len(best) - cost - score.max()) < 1e-9
+
+
+@pytest.mark.parametrize("apart", [100, 500])
+def test_later_passages_of_a_pair_are_found(spark, apart):
+    random = np.random.default_rng(8)
+    text = lambda n: ["".join(random.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    long, short = text(200), text(60)
+    rows = [(k, " ".join(text(30) + long + text(apart) + short + text(30))) for k in range(2)]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["start_word"], r["end_word"]) for r in found) == [(k, *x) for k in range(2) for x in ((30, 230), (230 + apart, 290 + apart))]
+
+
 # -- 7
 
 
