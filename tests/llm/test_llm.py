@@ -231,6 +231,40 @@ def chains_of(a, b):
     return [c.tolist() for c in substring.chains(a, b)]
 
 
+def test_chains_are_cut_where_few_words_are_equal(spark):
+    random = np.random.default_rng(9)
+    text = lambda n: ["".join(random.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    passage, seed, common = text(60), text(24), [text(60) for _ in range(8)]
+    docs = [text(30) + passage + text(40) + seed + text(30) for _ in range(2)]
+    docs += [text(30) + [w for part in common for w in part + text(20)] for _ in range(2)]
+    rows = [(k, " ".join(d)) for k, d in enumerate(docs)]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {k: sorted((r["start_word"], r["end_word"]) for r in found if r["doc_id"] == k) for k in range(4)}
+    assert spans[0] == spans[1] == [(30, 90)]
+    for k in (2, 3):
+        assert all(any(s <= 30 + 80 * i and 90 + 80 * i <= e for s, e in spans[k]) for i in range(8))
+
+
+def test_parts_of_a_chain_are_all_that_have_the_identity():
+    random = np.random.default_rng(10)
+    for _ in range(60):
+        x, y, anchors = [], [], []
+        for _ in range(int(random.integers(2, 7))):
+            run = random.integers(100, 60_000, int(random.integers(8, 40))).tolist()
+            anchors.append((len(x), len(y)))
+            x += run + random.integers(0, 6, int(random.integers(0, 30))).tolist()
+            y += run + random.integers(0, 6, int(random.integers(0, 30))).tolist()
+        x, y, anchors = np.array(x, np.uint16), np.array(y, np.uint16), np.array(anchors)
+        pairs = substring.matched(x, y, anchors)
+        assert (np.diff(pairs, axis=0) > 0).all() and (x[pairs[:, 0]] == y[pairs[:, 1]]).all()
+        found, n = substring.aligned(x, y, anchors), len(pairs)
+        good = [(i, j) for i in range(n) for j in range(i, n) if j - i + 1 >= substring.IDENTITY * max(pairs[j] - pairs[i] + 1) - 1e-9 and min(pairs[j] - pairs[i] + 1) >= substring.STRETCH]
+        assert all(any(p <= pairs[i][0] and pairs[j][0] < e for p, e, *_ in found) for i, j in good)
+        assert all(f[4] >= substring.IDENTITY - 1e-9 for f in found)
+        for gap in ((x[:50], y[:50]), (x[-40:], y[-60:])):
+            assert len(substring._equal_in_order(*gap)) == substring._common(*gap)
+
+
 def test_chains_take_the_best_match_in_reach():
     random = np.random.default_rng(3)
     for _ in range(40):
