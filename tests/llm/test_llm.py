@@ -265,6 +265,22 @@ def test_parts_of_a_chain_are_all_that_have_the_identity():
             assert len(substring._equal_in_order(*gap)) == substring._common(*gap)
 
 
+def test_a_passage_is_shared_with_one_partner(spark):
+    random = np.random.default_rng(11)
+    text = lambda n: ["".join(random.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    lines, boilerplate = [text(17) for _ in range(4)], [text(30) for _ in range(2)]
+    whole = [w for line in lines for w in line]
+    docs = {k: text(40) + whole + text(40) for k in (500, 501)}
+    # Each line, and each two neighbouring ones, are frequent elsewhere, in documents before and after these.
+    pairs = [lines[k] + lines[k + 1] for k in range(3)] + lines
+    docs |= {k + shift: text(40) + part + text(40) for k, part in enumerate(pairs) for shift in (0, 20, 900, 920)}
+    # Two short boilerplates, side by side in one document alone.
+    docs |= {700: text(40) + boilerplate[0] + boilerplate[1] + text(40), 600: text(40) + boilerplate[0] + text(40), 800: text(40) + boilerplate[1] + text(40)}
+    rows = [(k, " ".join(d)) for k, d in docs.items()]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["start_word"], r["end_word"], r["partner_id"]) for r in found) == [(500, 40, 108, 501), (501, 40, 108, 500)]
+
+
 def test_chains_take_the_best_match_in_reach():
     random = np.random.default_rng(3)
     for _ in range(40):
