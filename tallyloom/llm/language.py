@@ -12,12 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import map_batches, sigmoid, text_of
 
-#: Texts of each language that the classifiers are fitted on, and of all together.
+#: Texts of each language that the classifiers are fitted on, and of all together; with many languages each has an equal share.
 PER_LANGUAGE, IN_ALL = 1000, 6000
 BUCKETS = 1 << 13
 ROUNDS = 150
@@ -98,17 +98,21 @@ def fit(sample: list[tuple[str, str]]) -> LanguageModel | None:
 
 
 def fit_language(docs: DataFrame, per_language: int = PER_LANGUAGE, in_all: int = IN_ALL) -> LanguageModel | None:
-    """Fit on ``text`` and non-null ``lang`` of the rows, drawn by a hash of the id: about so many of each language, so many in all."""
+    """Fit on ``text`` and non-null ``lang`` of the rows, drawn by a hash of the id: at most so many of each language, which share what is drawn in all."""
     known = docs.where("lang IS NOT NULL").select("doc_id", text_of().alias("text"), "lang")
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(in_all).collect()}
-    draw = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1_000_000))
-    drawn = None
+    if not counts:
+        return None
+    share = max(1, min(per_language, in_all // len(counts)))
+    # Rows without an id are told apart by their text. Some more than the share are drawn, then ranked.
+    draw = F.xxhash64(F.lit(3), "doc_id", F.expr("CASE WHEN doc_id IS NULL THEN text END"))
+    more, parts, drawn = share + 6 * share**0.5 + 20, 1 << 40, None
     for lang, count in counts.items():
-        one = (F.col("lang") == lang) & (draw < int(1_000_000 * min(1.0, per_language / count)))
+        one = (F.col("lang") == lang) & (F.pmod("draw", F.lit(parts)) < int(parts * min(1.0, more / count)))
         drawn = one if drawn is None else drawn | one
-    if drawn is None:
-        return None
-    return fit([(r["text"], r["lang"]) for r in known.where(drawn).select("text", "lang").limit(in_all).collect()])
+    order = Window.partitionBy("lang").orderBy(F.pmod("draw", F.lit(parts)), "doc_id", "text")
+    ranked = known.withColumn("draw", draw).where(drawn).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= share)
+    return fit([(r["text"], r["lang"]) for r in ranked.orderBy("lang", "rank").select("text", "lang").collect()])
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, keep: list[str] | None = None) -> DataFrame:

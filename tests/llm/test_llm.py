@@ -307,6 +307,13 @@ def test_later_passages_of_a_pair_are_found(spark, apart):
     assert sorted((r["doc_id"], r["start_word"], r["end_word"]) for r in found) == [(k, *x) for k in range(2) for x in ((30, 230), (230 + apart, 290 + apart))]
 
 
+def test_every_language_is_drawn_whatever_the_order(spark):
+    rows = [(200 * k + i, f"{word} text number", f"l{k}") for k, word in enumerate(["aa", "bb", "cc", "dd", "ee", "ff", "gg"]) for i in range(200 if k else 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    model = language.fit_language(docs, per_language=50, in_all=70)
+    assert model.languages == [f"l{k}" for k in range(7)]
+
+
 # -- 7
 
 
