@@ -2,15 +2,10 @@ import sys
 from pathlib import Path
 
 import pytest
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-# A failed task comes as the latter when Spark has no Python class for its cause.
-JOB_FAILS = (PySparkException, Py4JJavaError)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -26,12 +21,3 @@ def spark():
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
-
-
-def plan(df) -> str:
-    """The physical plan as text."""
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def tuples(df) -> list[tuple]:
-    return [tuple(row) for row in df.collect()]

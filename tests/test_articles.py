@@ -1,5 +1,5 @@
 import pytest
-from conftest import JOB_FAILS, tuples
+from helpers import JOB_FAILS, tuples
 
 from tallyloom.sources.articles import article_lines, article_rejects, parse_articles, read_articles
 

@@ -2,7 +2,7 @@ import random
 import statistics
 
 import pytest
-from conftest import plan, tuples
+from helpers import plan, tuples
 from pyspark.sql import functions as F
 
 from tallyloom.functions.geometry import distances, total_movement

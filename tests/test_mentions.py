@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import plan, tuples
+from helpers import plan, tuples
 
 from tallyloom.functions.tokens import LANGUAGES
 from tallyloom.operators import mentions

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import JOB_FAILS, plan, tuples
+from helpers import JOB_FAILS, plan, tuples
 from pyspark.sql import functions as F
 
 from tallyloom.functions.tokens import LANGUAGES

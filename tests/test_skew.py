@@ -1,7 +1,7 @@
 """One key holds a third of all rows: Spark must be able to split it in every join."""
 
 import pytest
-from conftest import plan
+from helpers import plan
 from pyspark.sql import functions as F
 
 from tallyloom.operators import mentions, postings

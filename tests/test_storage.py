@@ -1,5 +1,5 @@
 import pytest
-from conftest import tuples
+from helpers import tuples
 
 from tallyloom.plans import storage
 
