@@ -6,7 +6,9 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, exact_dedup, jaccard_join, language, packing, pii, quality, substring, toxicity
+from tallyloom.llm import (
+    bpe, chat, decontaminate, exact_dedup, jaccard_join, language, lloyd, packing, pii, quality, repair, substring, toxicity,
+)
 from tallyloom.llm.common import id_remainder, text_of
 from tallyloom.sources.tables import table
 
@@ -91,8 +93,59 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), *files, public_tokenizers.PATTERN)
 
 
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    codes, books = lloyd.compress(table(spark, sf, "embeddings"), "embedding", "vec_id", keep=["vec_id", "label"])
+    summed = lloyd.with_group_error(codes, "label", "label_error")
+    shown = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return summed.select("vec_id", shown.alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op12_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, bpe.fit_lexicon(docs, path), keep=["doc_id"])
+    told = bpe.decode(coded, path, keep=["doc_id", "ids"])
+    return told.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """One of twenty rows each dropped, emptied, without its sentence ends, repeated, or said by the user."""
+    key = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat(key[0], F.lit(":"), key[1])) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), kind.alias("kind")).where("kind <> 0").select(
+        "conv_id", "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
+    damaged = _damaged(rows)
+    found = rows.select("conv_id").distinct()
+    for part in (repair.gaps(damaged), repair.digests(repair.repair(damaged))):
+        part = part.withColumnRenamed("conv_id", "of")
+        found = found.join(part, found["conv_id"].eqNullSafe(part["of"]), "left").drop("of")
+    counts = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def queries() -> dict:
-    found = {q.__name__: q for q in (op1_decontaminate, op2_toxicity, op3_quality, op4_jaccard_join, op5_exact_dedup, op6_substring_dedup, op7_pii, op8_language, op9_chat_format, op10_packing)}
+    found = {q.__name__: q for q in (
+        op1_decontaminate, op2_toxicity, op3_quality, op4_jaccard_join, op5_exact_dedup, op6_substring_dedup, op7_pii, op8_language,
+        op9_chat_format, op10_packing, op11_vector_codes, op12_bpe, op13_conversation_repair,
+    )}
     return found | {"pipeline": corpus_pipeline.run}
 
 
@@ -130,5 +183,118 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
 FROM r GROUP BY conv_id"""
 
 
+def _op11(rounds: int = lloyd.ROUNDS) -> str:
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""d{i} AS (
+  SELECT rid, p, e, CAST(list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c) AS BIGINT) AS d
+  FROM parts JOIN c{i} USING (p)),
+a{i} AS MATERIALIZED (SELECT rid, p, arg_min(e, {{'d': d, 'e': e}}) AS e, min(d) AS d FROM d{i} GROUP BY rid, p)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (
+  SELECT p, e, list(m ORDER BY i) AS m FROM (
+    SELECT p, e, i, floor(sum(x[i]) / count(*)) AS m FROM parts JOIN a{i} USING (rid, p), range(1, len(x) + 1) r(i) GROUP BY p, e, i) s
+  GROUP BY p, e),
+c{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(m, c) AS c FROM c{i} LEFT JOIN m{i} USING (p, e))""")
+    return f"""
+WITH base AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * {lloyd.SCALE})) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+numbered AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS rid FROM base),
+parts AS MATERIALIZED (
+  SELECT rid, p, v[p * (len(v) // {lloyd.PARTS}) + 1:(p + 1) * (len(v) // {lloyd.PARTS})] AS x FROM numbered, range({lloyd.PARTS}) r(p)),
+c0 AS (SELECT p, rid - 1 AS e, x AS c FROM parts WHERE rid <= {lloyd.ENTRIES}),
+{", ".join(steps)},
+told AS (SELECT sha256(string_agg(CAST(CAST(y AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS books
+  FROM (SELECT p, e, i, c[i] AS y FROM c{rounds}, range(1, len(c) + 1) r(i)) s),
+coded AS (
+  SELECT rid, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY rid)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, books AS codebooks_sha256
+FROM numbered JOIN coded USING (rid), told"""
+
+
+_STATES = ("s0", "s1", "s2", "s3")
+
+
+def _edited(state: str, cost: str, letter: str, line: str = "") -> str:
+    """A state after one more edit; ``line`` is what it leaves of the repaired text."""
+    lines = f"list_append({state}.lines, {line})" if line else f"{state}.lines"
+    return f"{{'cost': {state}.cost + {cost}, 'audit': {state}.audit || '{letter}', 'lines': {lines}}}"
+
+
+def _least(*found: str) -> str:
+    return f"list_sort([{', '.join(found)}])[1]"
+
+
+def _op13() -> str:
+    insert = repair.COST[repair.INSERT]
+    users = [_edited(s, str(insert), "I", "'user:'") for s in ("s0", "s1", "s3")]
+    helpers = _edited("s2", str(insert), "I", "'assistant:'")
+
+    def closed(rows: str) -> str:
+        """The states with rows put in where that makes one cheaper."""
+        users_in = f"SELECT conv_id, n, s0, s1, {_least('s2', *users)} AS s2, s3 FROM ({rows}) a"
+        return f"SELECT conv_id, n, s0, s1, s2, {_least('s3', helpers)} AS s3 FROM ({users_in}) b"
+
+    never = "{'cost': CAST(1000000000 AS BIGINT), 'audit': '', 'lines': CAST([] AS VARCHAR[])}"
+    keep, rerole = "more", f"more + {repair.COST[repair.REROLE]}"
+
+    def became(target: int, initial: str, role: str, sources: tuple[str, ...]) -> str:
+        ways = [_edited(f"s{target}", str(repair.COST[repair.DELETE]), "D")]
+        ways += [_edited(s, f"(CASE WHEN initial = '{initial}' THEN {keep} ELSE 1000000000 END)", "K", "line") for s in sources]
+        ways += [_edited(s, f"({rerole})", "R", f"'{role}:' || text") for s in sources if role]
+        return f"{_least(*ways)} AS s{target}"
+
+    step = "SELECT v.conv_id, r.n, " + ", ".join([
+        became(0, "", "", ()), became(1, "s", "", ("s0",)), became(2, "u", "user", ("s0", "s1", "s3")), became(3, "a", "assistant", ("s2",)),
+    ]) + " FROM v JOIN steps r ON r.conv_id IS NOT DISTINCT FROM v.conv_id AND r.n = v.n + 1"
+    blanks = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+    return f"""
+WITH RECURSIVE crc AS (
+  SELECT [list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) FOR n IN range(256)] AS t),
+told AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    [CAST(ord(x) AS BIGINT) FOR x IN string_split(concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')), '')] AS k
+  FROM conversations),
+hashed AS (
+  SELECT conv_id, turn, role, text,
+    xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], k), lambda c, b: xor(t[CAST(xor(c, b) % 256 AS INTEGER) + 1], c // 256)), 4294967295) % 20 AS h
+  FROM told, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN h = 1 THEN '' WHEN h = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hashed JOIN (VALUES (1), (2)) c(copy) ON copy = 1 OR h = 3 WHERE h <> 0),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n, rtrim(text, {blanks}) AS bare
+  FROM damaged),
+faulted AS (
+  SELECT conv_id, n, turn, role, text, left(role, 1) AS initial, role || ':' || text AS line,
+    CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY n), 1) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal
+  FROM ordered),
+steps AS (
+  SELECT *, CAST(CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 WHEN fault = 'truncated' THEN {repair.TRUNCATED_COST} ELSE 0 END AS BIGINT) AS more
+  FROM faulted),
+v AS (
+  SELECT * FROM ({closed(f"SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS n, {{'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': CAST([] AS VARCHAR[])}} AS s0, {never} AS s1, {never} AS s2, {never} AS s3 FROM conversations")}) start
+  UNION ALL SELECT * FROM ({closed(step)}) next),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM faulted GROUP BY conv_id),
+ends AS (
+  SELECT v.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+    coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, {_least("s0", "s3")} AS best
+  FROM v LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM v.conv_id WHERE v.n = coalesce(c.n, 0))
+SELECT conv_id, CAST(gaps AS BIGINT) AS gaps, blank, duplicate, truncated, illegal, best.cost AS cost, best.audit AS audit,
+  sha256(array_to_string(best.lines, chr(10))) AS repaired_sha256
+FROM ends"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard_join": _OP4, "op5_exact_dedup": _OP5, "op9_chat_format": _OP9}
+    return {
+        "op4_jaccard_join": _OP4, "op5_exact_dedup": _OP5, "op9_chat_format": _OP9,
+        "op11_vector_codes": _op11(), "op13_conversation_repair": _op13(),
+    }

@@ -43,7 +43,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_all_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert len(names) == 11 and set(queries.oracle_sql()) <= set(entry.oracle_sql())
+    assert len(names) == 14 and set(queries.oracle_sql()) <= set(entry.oracle_sql())
 
 
 # -- 1
