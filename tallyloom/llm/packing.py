@@ -11,7 +11,9 @@ the rank of a piece among those of its length gives its sequence and offset.
 from __future__ import annotations
 
 import base64
+import re
 import sys
+import unicodedata
 import zlib
 from array import array
 
@@ -37,22 +39,37 @@ class Encoder:
     """Ids of whole texts, as bytes: little-endian unsigned 32-bit integers.
 
     The ranks hold the vocabulary of the tokenizer file and give the same ids
-    several times faster; texts with one of its added tokens, which ranks do not
-    know, go through the tokenizer itself.
+    several times faster. The tokenizer itself takes the texts that ranks cannot or may not
+    know as it does: those with one of its added tokens, with a run of white space that
+    the pattern's look-ahead would follow too deep, or with characters that Unicode
+    got, or put into another class, after version 3.2.
     """
 
+    _RUN = 10_000
+
     def __init__(self, tokenizer_path: str, ranks_path: str, pattern: str) -> None:
         import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.deep = re.compile(rf"\s{{{self._RUN}}}")
+        self.settled: set[str] = set()
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    def _all_settled(self, text: str) -> bool:
+        if text.isascii():
+            return True
+        old = unicodedata.ucd_3_2_0.category
+        new = set(text) - self.settled
+        self.settled |= {c for c in new if old(c) != "Cn" and old(c) == unicodedata.category(c)}
+        return new <= self.settled
+
     def encode(self, text: str) -> bytes:
-        if any(token in text for token in self.added):
+        deep = len(text) >= self._RUN and self.deep.search(text)
+        if deep or not self._all_settled(text) or any(token in text for token in self.added):
             found = self.tokenizer.encode(text, add_special_tokens=False).ids
         else:
             found = self.fast(text)
@@ -245,7 +262,7 @@ def _slots(patterns: list[tuple[dict[int, int], int]]) -> dict[int, tuple[np.nda
 def _ranked(rows: DataFrame) -> DataFrame:
     """``rank`` among the pieces of a length, from 0, without bringing a length together."""
     buckets = max(1, rows.count() // _RANKED)
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)).cast("int"))
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)).cast("int"))
     counts = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = counts.selectExpr(
         "length", "bucket",
@@ -263,7 +280,8 @@ def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, ca
     ``tokenizer_path`` is a byte-level tokenizer file, ``ranks_path`` the same
     vocabulary as ranks, ``pattern`` how it splits text.
 
-    * A null or empty text is a piece of the end id alone; null ids are allowed.
+    * A null or empty text is a piece of the end id alone; null ids are allowed. Texts
+      may be of any length and hold runs of any one character.
     * Repeated rows are packed as often as they occur.
     * A sequence holds whole pieces one after the other; only its end is padding.
     * Other columns are not looked at. An empty table gives no rows.

@@ -422,3 +422,18 @@ def test_pipeline_keeps_what_each_stage_accepts(spark):
     assert len(texts) == len(set(texts))
     packed = corpus_pipeline.run(spark, FOLDER).toPandas()
     assert set(packed.doc_id) == {r["doc_id"] for r in docs.collect()}
+
+
+LONG = [" " * 3_000_000, "\n" * 3_000_000 + "q", " \t" * 1_000_000, "7" * 1_000_000, "a\U0001e900b \U00010d41 x" * 50, "née 中 ́e 🙂"]
+
+
+def test_runs_of_any_length_have_the_tokenizers_ids(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(k, text) for k, text in enumerate(LONG)]
+    found = packing.pieces(spark.createDataFrame(rows, "doc_id long, text string"), path, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    library = Tokenizer.from_file(path)
+    want = {}
+    for k, text in rows:
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, packing.END], "<u4")
+        want |= {(k, a): (b - a, zlib.crc32(ids[a:b].tobytes()), len(ids)) for a, b in packing.cuts(len(ids), packing.CAPACITY)}
+    assert {(r["doc_id"], r["start"]): tuple(r)[2:] for r in found.collect()} == want
