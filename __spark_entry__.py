@@ -94,10 +94,10 @@ def rank_index_bags(spark: SparkSession, sf: str) -> DataFrame:
     return mentions.rank_by_index(mentions.bag_index(index, bag_size=BAG_SIZE))
 
 
-def _large_vocabulary(spark: SparkSession, sf: str) -> list[str]:
-    """All words of the benchmark table: more than are compared one by one."""
+def _large_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """All words of the benchmark table, numbered in their order."""
     words = tables.table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("word"))
-    return [r.word for r in words.where("word <> '' AND NOT contains(word, '\\n')").distinct().orderBy("word").collect()]
+    return mentions.numbered_vocabulary(words.where("NOT contains(word, '\\n')"))
 
 
 def rank_large(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,7 +105,8 @@ def rank_large(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rank_large_zeros(spark: SparkSession, sf: str) -> DataFrame:
-    return mentions.rank_all(tables.articles(spark, sf), [*_large_vocabulary(spark, sf), "never found"])
+    never = spark.range(1).select(F.lit("never found").alias("keyword"), F.lit(-1).cast("long").alias("position"))
+    return mentions.rank_all(tables.articles(spark, sf), _large_vocabulary(spark, sf).unionByName(never))
 
 
 def index_large(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,11 +1,18 @@
-"""How many articles mention each keyword, and which ones."""
+"""How many articles mention each keyword, and which ones.
+
+A vocabulary is a table ``(keyword, position)`` that stays on Spark, or a short list
+in the program. There is one plan for tables of every size: articles are scanned and
+split once, tokens that no keyword can equal are dropped by a bitmap of bounded
+size, and what is left meets the keywords themselves. A list is a constant of the
+plan, which each article is compared with; give a vocabulary of thousands as a table.
+"""
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.tokens import checked_vocabulary, mentioned, mentions, tokens
@@ -13,12 +20,21 @@ from tallyloom.operators.bags import (
     BAG_BYTES, BAG_SIZE, bag_of, bags_for, distinct_rows, total_bytes, with_copies,
 )
 from tallyloom.operators.skew import shuffled_for_join
+from tallyloom.plans.storage import materialize
+
+
+class CheckedVocabulary(NamedTuple):
+    """``(keyword, position)`` without null, empty or repeated keywords, and the list it came from if it did."""
+
+    rows: DataFrame
+    listed: list[str] | None
 
-# Above this, comparing every article with the whole vocabulary costs more than a join.
-LITERAL_VOCABULARY = 500
-# No more of a vocabulary than this is sent to every executor at once.
-BROADCAST_BYTES = 8 * 1024 * 1024
-ROW_BYTES = 32
+
+Vocabulary = Sequence[str] | DataFrame | CheckedVocabulary
+
+# Bits of the bitmap of keywords. It is broadcast as rows of 64 bits, so it takes
+# 4 MiB at most whatever the size of the vocabulary, and tens of bytes for a few words.
+BITMAP_BITS = 1 << 24
 
 
 def occurrences(articles: DataFrame, keyword: str) -> DataFrame:
@@ -28,45 +44,89 @@ def occurrences(articles: DataFrame, keyword: str) -> DataFrame:
     ).select("keyword", "n")
 
 
-def _vocabulary_rows(articles: DataFrame, keywords: list[str]) -> DataFrame:
-    return articles.sparkSession.createDataFrame(
-        [(k, i) for i, k in enumerate(keywords)], "keyword string, position int"
+def check_vocabulary(spark: SparkSession, vocabulary: Vocabulary) -> CheckedVocabulary:
+    """A vocabulary as a table; null, empty and repeated keywords are refused with a ValueError.
+
+    A table has the columns ``keyword`` and ``position``. It is written once, so that
+    what follows reads what was checked, and Spark knows its size when it chooses
+    between joins.
+    """
+    if isinstance(vocabulary, CheckedVocabulary):
+        return vocabulary
+    if not isinstance(vocabulary, DataFrame):
+        listed = checked_vocabulary(vocabulary)
+        rows = spark.createDataFrame([(k, i) for i, k in enumerate(listed)], "keyword string, position long")
+        return CheckedVocabulary(rows, listed)
+    rows = materialize(
+        vocabulary.select(F.col("keyword").cast("string").alias("keyword"), F.col("position").cast("long").alias("position")),
+        "vocabulary",
     )
+    wrong = rows.groupBy("keyword").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR keyword IS NULL OR keyword = ''")
+    if (first := wrong.first()) is not None:
+        raise ValueError(f"the vocabulary repeats a keyword or has an empty one: {first.keyword!r}")
+    return CheckedVocabulary(rows, None)
+
+
+def numbered_vocabulary(keywords: DataFrame) -> DataFrame:
+    """``(keyword, position)`` of the distinct non-empty values of the first column, numbered in their order.
+
+    Numbered within sorted ranges from the counts of the ranges before, so that
+    no task sees all of them.
+    """
+    name = keywords.columns[0]
+    words = keywords.select(F.col(name).cast("string").alias("keyword")).where("keyword <> ''").distinct()
+    ranged = materialize(
+        words.orderBy("keyword").select("keyword", F.monotonically_increasing_id().alias("at")), "vocabulary-order"
+    ).withColumn("range", F.shiftright("at", 33))
+    # A row per range, as many as there are partitions.
+    sizes = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.selectExpr("range", "sum(n) OVER (ORDER BY range) - n AS before")
+    inside = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.join(F.broadcast(before), "range").select("keyword", (F.col("before") + inside).alias("position"))
+
+
+def _bit(keyword: Column) -> tuple[Column, Column]:
+    """The row of the bitmap and the bit in it that a keyword sets."""
+    at = F.pmod(F.xxhash64(keyword), F.lit(BITMAP_BITS))
+    return F.shiftright(at, 6), at.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _bitmap(words: DataFrame) -> DataFrame:
+    """``(__part, __bits)``: the bits that keywords set, in at most BITMAP_BITS / 64 rows."""
+    part, bit = _bit(F.col("keyword"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))
+    return words.select(part.alias("__part"), bit.alias("bit")).groupBy("__part").agg(F.bit_or(one).alias("__bits"))
+
+
+def _possible(articles: DataFrame, words: CheckedVocabulary, columns: Sequence[str]) -> DataFrame:
+    """``(keyword, columns...)`` for the distinct tokens of each article that may be keywords.
+
+    Of a list these are its keywords. Of a table they are the tokens that have their
+    bit set: all keywords, and a share of other tokens that grows with the table.
+    Narrow, and the only scan of the articles.
+    """
+    if words.listed is not None:
+        return articles.select(F.explode(mentioned(F.col("text"), words.listed)).alias("keyword"), *columns)
+    found = articles.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("keyword"), *columns)
+    part, bit = _bit(F.col("keyword"))
+    marked = found.withColumn("__part", part).join(F.broadcast(_bitmap(words.rows)), "__part")
+    return marked.where(F.getbit("__bits", bit) == 1).select("keyword", *columns)
 
 
 def index_articles(
-    articles: DataFrame, vocabulary: Sequence[str], columns: Sequence[str] = ("title", "text")
+    articles: DataFrame, vocabulary: Vocabulary, columns: Sequence[str] = ("title", "text")
 ) -> DataFrame:
     """Inverted index in long form: one row ``(keyword, columns...)`` per mention.
 
-    Narrow: articles are not shuffled, and a keyword that half of them mention
-    stays spread over all tasks. Keywords without a mention have no row. A
-    large vocabulary is looked up instead of compared, in as many scans as it
-    takes to broadcast it in parts of bounded size.
+    Keywords without a mention have no row. With a list this is narrow: articles are
+    not shuffled. Possible mentions of a table's keywords are joined with these: Spark
+    broadcasts them where their size allows, and then no article is shuffled either;
+    otherwise it shuffles both sides, and splits a keyword that half of the articles
+    mention.
     """
-    keywords = checked_vocabulary(vocabulary)
-    if len(keywords) <= LITERAL_VOCABULARY:
-        found = F.explode(mentioned(F.col("text"), keywords)).alias("keyword")
-        return articles.select(found, *columns)
-    found = articles.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("keyword"), *columns)
-    parts = [
-        found.join(F.broadcast(_vocabulary_rows(articles, part).select("keyword")), "keyword")
-        for part in _broadcastable(keywords)
-    ]
-    return functools.reduce(DataFrame.unionAll, parts)
-
-
-def _broadcastable(keywords: list[str]) -> Iterator[list[str]]:
-    """The vocabulary in parts of at most BROADCAST_BYTES each (usually one)."""
-    part, size = [], 0
-    for keyword in keywords:
-        row = len(keyword.encode()) + ROW_BYTES
-        if part and size + row > BROADCAST_BYTES:
-            yield part
-            part, size = [], 0
-        part.append(keyword)
-        size += row
-    yield part
+    words = check_vocabulary(articles.sparkSession, vocabulary)
+    possible = _possible(articles, words, columns)
+    return possible if words.listed is not None else possible.join(words.rows.select("keyword"), "keyword")
 
 
 def bag_index(
@@ -93,66 +153,58 @@ def bag_index(
     )
 
 
-def rank_by_count(articles: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+def rank_by_count(articles: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``(keyword, n)`` by falling count, then keyword; keywords without a mention are absent.
 
     Only keywords and partial counts are shuffled.
     """
-    keywords = checked_vocabulary(vocabulary)
-    return rank_found(_found(articles, keywords), keywords)
+    words = check_vocabulary(articles.sparkSession, vocabulary)
+    return _ranked_found(_count_all(_possible(articles, words, ()), words))
 
 
-def rank_found(found: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+def rank_found(found: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``rank_by_count`` from rows that each mention the ``keyword`` they hold."""
-    counted = _count_all(found, checked_vocabulary(vocabulary)).where("n > 0")
-    return counted.select("keyword", "n").orderBy(F.desc("n"), "keyword")
+    return _ranked_found(_count_all(found, check_vocabulary(found.sparkSession, vocabulary)))
+
 
+def _ranked_found(counted: DataFrame) -> DataFrame:
+    return counted.where("n > 0").select("keyword", "n").orderBy(F.desc("n"), "keyword")
 
-def rank_all(articles: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+
+def rank_all(articles: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``(keyword, n)`` for the whole vocabulary, zeros included.
 
     By falling count; among equal counts the later keyword comes first.
     """
-    keywords = checked_vocabulary(vocabulary)
-    return rank_all_found(_found(articles, keywords), keywords)
+    words = check_vocabulary(articles.sparkSession, vocabulary)
+    return _ranked_all(_count_all(_possible(articles, words, ()), words))
 
 
-def rank_all_found(found: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+def rank_all_found(found: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``rank_all`` from rows that each mention the ``keyword`` they hold."""
-    return (
-        _count_all(found, checked_vocabulary(vocabulary))
-        .orderBy(F.desc("n"), F.desc("position"))
-        .select("keyword", "n")
-    )
-
+    return _ranked_all(_count_all(found, check_vocabulary(found.sparkSession, vocabulary)))
 
-def _found(articles: DataFrame, keywords: list[str]) -> DataFrame:
-    """Mentions as rows ``(keyword)``, in one scan.
 
-    Of a vocabulary too large to broadcast it has all tokens instead, which are
-    counted in one shuffle where the index would scan the articles once per part.
-    """
-    if len(list(_broadcastable(keywords))) == 1:
-        return index_articles(articles, keywords, columns=())
-    return articles.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("keyword"))
+def _ranked_all(counted: DataFrame) -> DataFrame:
+    return counted.orderBy(F.desc("n"), F.desc("position"), "keyword").select("keyword", "n")
 
 
-def _count_all(found: DataFrame, keywords: list[str]) -> DataFrame:
+def _count_all(found: DataFrame, words: CheckedVocabulary) -> DataFrame:
     """``(keyword, position, n)`` for every keyword, in one shuffle.
 
     The vocabulary joins the mentions as rows that weigh nothing, which keeps
-    keywords without a mention without a join. Only keywords are shuffled, summed
-    up before.
+    keywords without a mention, and drops tokens that are none, without a join.
+    Only keywords are shuffled, summed up before.
     """
     mentions_found = found.select(
-        "keyword", F.lit(None).cast("int").alias("position"), F.lit(1).alias("weight")
+        "keyword", F.lit(None).cast("long").alias("position"), F.lit(1).alias("weight")
     )
-    words = _vocabulary_rows(found, keywords).withColumn("weight", F.lit(0))
+    listed = words.rows.select("keyword", "position", F.lit(0).alias("weight"))
     return (
-        mentions_found.unionByName(words)
+        mentions_found.unionByName(listed)
         .groupBy("keyword")
-        .agg(F.max("position").alias("position"), F.sum("weight").alias("n"))
-        .where(F.col("position").isNotNull())
+        .agg(F.max("position").alias("position"), F.sum("weight").alias("n"), F.min("weight").alias("least"))
+        .where("least = 0")
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +21,13 @@ class Rankings(NamedTuple):
     by_count: DataFrame
 
 
-def rank_articles(spark: SparkSession, path: str, vocabulary: Sequence[str] = LANGUAGES) -> Rankings:
+def rank_articles(spark: SparkSession, path: str, vocabulary: mentions.Vocabulary = LANGUAGES) -> Rankings:
     """The three rankings of keywords over an article file.
 
     The file is read and split once: its mentions are written, and the rankings
     read them.
     """
+    vocabulary = mentions.check_vocabulary(spark, vocabulary)
     index = mentions.index_articles(read_articles(spark, path), vocabulary, columns=())
     found = materialize(index, "mentions")
     return Rankings(

@@ -1,22 +1,26 @@
 import random
+import re
 
 import pytest
 from helpers import plan, tuples
+from pyspark.sql import functions as F
 
 from tallyloom.functions.tokens import LANGUAGES
 from tallyloom.operators import mentions
 
-FOUR = [
-    ("a", "a Groovy script called an Erlang node"),
-    ("b", "JavaScript draws the page"),
-    ("b", "our Java service loads a Scala library"),
-    ("c", "one Scala file compiles slowly"),
-]
-FIVE = [
-    FOUR[0], FOUR[2], FOUR[3],
-    ("d", "Haskell came after Java in that course"),
-    ("e", "Java jobs run at night"),
-]
+TOOLS = ["saw", "drill", "file", "rasp", "plane", "chisel", "vice"]
+
+
+def shop_notes(n):
+    """Note i holds every tool whose place divides it, between other words; every fourth note comes twice."""
+    notes = []
+    for i in range(1, n + 1):
+        held = [tool for place, tool in enumerate(TOOLS, 2) if i % place == 0]
+        notes += [(f"note {i}", " ".join(["we", *held, "bring", str(i), *held[:1]]))] * (2 if i % 4 == 0 else 1)
+    return notes
+
+
+NOTES = shop_notes(40)
 
 
 def articles(spark, rows):
@@ -45,26 +49,25 @@ def test_title_is_not_searched(spark):
     assert mentions.index_articles(articles(spark, [("Java", "none")]), ["Java"]).isEmpty()
 
 
-def test_counts_of_four_and_five_articles(spark):
-    vocabulary = ["Java", "Scala", "JavaScript"]
-    expected = [("Scala", 2), ("Java", 1), ("JavaScript", 1)]
-    assert tuples(mentions.rank_by_index(mentions.index_articles(articles(spark, FOUR), vocabulary))) == expected
-    vocabulary = ["Scala", "Java", "Groovy", "Haskell", "Erlang"]
-    expected = [("Java", 3), ("Scala", 2), ("Erlang", 1), ("Groovy", 1), ("Haskell", 1)]
-    assert tuples(mentions.rank_by_count(articles(spark, FIVE), vocabulary)) == expected
+def test_rankings_of_notes(spark):
+    expected = sorted(((-n, k) for k, n in brute_force(NOTES, TOOLS).items()))
+    expected = [(k, -n) for n, k in expected]
+    assert tuples(mentions.rank_by_index(mentions.index_articles(articles(spark, NOTES), TOOLS))) == expected
+    assert tuples(mentions.rank_by_count(articles(spark, NOTES), TOOLS)) == expected
 
 
 def test_only_the_full_ranking_keeps_zeros_and_later_keywords_lead_ties(spark):
-    vocabulary = ["PHP", "Java", "JavaScript", "Perl"]
-    ranked = tuples(mentions.rank_all(articles(spark, FOUR), vocabulary))
-    assert ranked == [("JavaScript", 1), ("Java", 1), ("Perl", 0), ("PHP", 0)]
-    assert tuples(mentions.rank_by_count(articles(spark, FOUR), vocabulary)) == [("Java", 1), ("JavaScript", 1)]
+    vocabulary = ["forge", "bring", "we", "rasp", "anvil"]
+    n = brute_force(NOTES, vocabulary)
+    ranked = tuples(mentions.rank_all(articles(spark, NOTES), vocabulary))
+    assert ranked == [("we", len(NOTES)), ("bring", len(NOTES)), ("rasp", n["rasp"]), ("anvil", 0), ("forge", 0)]
+    assert tuples(mentions.rank_by_count(articles(spark, NOTES), vocabulary)) == [("bring", len(NOTES)), ("we", len(NOTES)), ("rasp", n["rasp"])]
     assert tuples(mentions.rank_all(articles(spark, []), vocabulary)) == [(k, 0) for k in reversed(vocabulary)]
 
 
 def test_index_keeps_equal_articles_and_whole_texts(spark):
-    index = mentions.index_articles(articles(spark, [FOUR[2], FOUR[2]]), ["Java", "Scala", "PHP"])
-    assert sorted(tuples(index)) == sorted([("Java", *FOUR[2]), ("Scala", *FOUR[2])] * 2)
+    index = mentions.index_articles(articles(spark, NOTES), TOOLS)
+    assert sorted(tuples(index)) == sorted((k, *note) for note in NOTES for k in TOOLS if k in note[1].split(" "))
     assert "Exchange" not in plan(index)
 
 
@@ -72,7 +75,7 @@ def test_vocabulary_is_checked(spark):
     for vocabulary in (["Java", "Java"], ["Java", ""]):
         for rank in (mentions.rank_all, mentions.rank_by_count, mentions.index_articles):
             with pytest.raises(ValueError):
-                rank(articles(spark, FOUR), vocabulary)
+                rank(articles(spark, NOTES), vocabulary)
 
 
 def test_keyword_with_a_blank_is_never_found(spark):
@@ -92,14 +95,19 @@ def brute_force(rows, vocabulary):
     return {k: sum(k in text.split(" ") for _, text in rows) for k in vocabulary}
 
 
-@pytest.mark.parametrize("literal, broadcast_bytes", [(500, 2**23), (3, 2**23), (3, 100)])
-def test_all_rankings_agree_with_brute_force(spark, random_articles, monkeypatch, literal, broadcast_bytes):
-    """Also for a vocabulary that is looked up, in one broadcast or in several."""
-    monkeypatch.setattr(mentions, "LITERAL_VOCABULARY", literal)
-    monkeypatch.setattr(mentions, "BROADCAST_BYTES", broadcast_bytes)
+def as_table(spark, keywords):
+    return spark.createDataFrame([(k, i) for i, k in enumerate(keywords)], "keyword string, position int")
+
+
+@pytest.mark.parametrize("bits", [None, 64, 1 << 10, 1 << 24])
+def test_all_rankings_agree_with_brute_force(spark, random_articles, monkeypatch, bits):
+    """Of a list, and of a table whose bitmap lets all tokens, some or none pass that are no keywords."""
     df = articles(spark, random_articles)
-    vocabulary = [*LANGUAGES, "Cobol", "Two Words"]
-    expected = brute_force(random_articles, vocabulary)
+    listed = [*LANGUAGES, "Cobol", "Two Words"]
+    if bits:
+        monkeypatch.setattr(mentions, "BITMAP_BITS", bits)
+    vocabulary = as_table(spark, listed) if bits else listed
+    expected = brute_force(random_articles, listed)
     index = mentions.index_articles(df, vocabulary)
     some = {k: n for k, n in expected.items() if n}
     rankings = {
@@ -112,6 +120,47 @@ def test_all_rankings_agree_with_brute_force(spark, random_articles, monkeypatch
         rows = tuples(ranked)
         assert dict(rows) == wanted
         assert [n for _, n in rows] == sorted((n for _, n in rows), reverse=True)
+    assert tuples(rankings["all"][0]) == sorted(expected.items(), key=lambda r: (-r[1], -listed.index(r[0])))
+
+
+def test_a_table_is_checked_like_a_list(spark):
+    for keywords in (["Java", "Java"], ["Java", ""], ["Java", None]):
+        with pytest.raises(ValueError):
+            mentions.rank_all(articles(spark, NOTES), as_table(spark, keywords))
+    assert mentions.rank_all(articles(spark, NOTES), as_table(spark, [])).isEmpty()
+    assert mentions.index_articles(articles(spark, NOTES), as_table(spark, [])).isEmpty()
+
+
+def test_a_vocabulary_is_numbered_in_its_order(spark):
+    words = spark.range(0, 5000, 1, 16).select((F.col("id") % 1777).cast("string").alias("word"))
+    rows = words.unionByName(spark.createDataFrame([("",), (None,)], "word string"))
+    assert sorted(tuples(mentions.numbered_vocabulary(rows))) == [(k, i) for i, k in enumerate(sorted(map(str, range(1777))))]
+
+
+def shape(df) -> list[str]:
+    """Operators of a plan from the top, without what Spark adds for whole stages."""
+    return re.findall(r"(?m)^[\s:+\-*()0-9]*([A-Z]\w+)", plan(df))
+
+
+def test_a_table_of_any_size_has_one_plan(spark, tmp_path):
+    """20 and 2,000,000 keywords: the same operators, one scan and one split of the articles, a bitmap of bounded size."""
+    path = str(tmp_path / "articles")
+    articles(spark, NOTES).write.parquet(path)
+    plans = {}
+    for n in (20, 2_000_000):
+        keywords = spark.range(n).select(F.concat(F.lit("w"), "id").alias("keyword"), F.col("id").alias("position"))
+        known = keywords.unionByName(as_table(spark, TOOLS).withColumn("position", F.col("position") + n))
+        words = mentions.check_vocabulary(spark, known)
+        df = spark.read.parquet(path)
+        ranked, index = mentions.rank_by_count(df, words), mentions.index_articles(df, words)
+        assert dict(tuples(ranked)) == brute_force(NOTES, TOOLS)
+        assert index.count() == sum(brute_force(NOTES, TOOLS).values())
+        fresh = [rank(df, words) for rank in (mentions.rank_by_count, mentions.rank_all)]
+        plans[n] = [shape(f) for f in fresh]
+        for f in (*fresh, mentions.index_articles(df, words)):
+            assert plan(f).count("split(text") == 1 and "LocalTableScan" not in plan(f)
+        assert mentions._bitmap(words.rows).count() <= mentions.BITMAP_BITS // 64
+    assert plans[20] == plans[2_000_000]
 
 
 def test_bags_are_bounded_and_whole(spark):
