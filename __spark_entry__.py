@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.survey import ActivityColumns, classify_columns
-from tallyloom.operators import clusters, mentions, postings, sampling, survey
+from tallyloom.operators import clusters, mentions, nearest, postings, sampling, survey
 from tallyloom.plans import flows
 from tallyloom.plans.storage import new_path
 from tallyloom.sources import tables
@@ -29,6 +29,8 @@ MANY_PER_LANGUAGE = 2_000
 BAG_SIZE = 3
 FIXED_MEANS = [(0, 3), (0, 12), (0, 20), (50_000, 5), (50_000, 12), (50_000, 19), (100_000, 12), (100_000, 24), (400_000, 0)]
 NUM_PARTITIONS = 8
+# Small enough that questions of the test tables are dealt into several parts.
+PART_ROWS = 3
 SAMPLE_SIZE = 9
 ACTIVITIES = ActivityColumns(["t010101", "t030101"], ["t050101"], ["t020101", "t040101"])
 
@@ -184,6 +186,18 @@ def postings_join(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def postings_join_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    questions, answers = postings.place_pairs(tables.postings(spark, sf), NUM_PARTITIONS, part_rows=PART_ROWS)
+    return postings.pair_placed(questions, answers).select(
+        "qid",
+        *[F.col(f"{side}.{name}").alias(f"{side}_{name}") for side in ("question", "answer") for name in postings.COLUMNS],
+    )
+
+
+def postings_counted_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    return postings.count_placed(*postings.place_pairs(tables.postings(spark, sf), NUM_PARTITIONS, part_rows=PART_ROWS))
+
+
 def postings_grouped(spark: SparkSession, sf: str) -> DataFrame:
     grouped = postings.group_postings(tables.postings(spark, sf), bag_size=BAG_SIZE)
     return postings.ungroup_postings(grouped).select(
@@ -241,6 +255,15 @@ def nearest_center(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.assign(postings_vectors(spark, sf), FIXED_MEANS)
 
 
+def nearest_center_many(spark: SparkSession, sf: str) -> DataFrame:
+    """The finished order nearest to each customer by customer number and money: thousands of centres from a table."""
+    orders = tables.table(spark, sf, "orders").where("o_orderstatus = 'F'")
+    centers = orders.select(F.col("o_orderkey").alias("idx"), F.col("o_custkey").alias("cx"), F.floor("o_totalprice").alias("cy"))
+    customers = tables.table(spark, sf, "customer")
+    points = customers.select("c_custkey", F.col("c_custkey").alias("x"), F.floor(F.col("c_acctbal") * 30).alias("y"))
+    return nearest.assign_nearest(points, nearest.index_centers(centers, points))
+
+
 def kmeans_step(spark: SparkSession, sf: str) -> DataFrame:
     points = clusters.weigh_points(postings_vectors(spark, sf))
     return clusters.means_frame(spark, clusters.move_means(points, FIXED_MEANS))
@@ -347,9 +370,10 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         rank_naive, rank_index, rank_index_bags, rank_reduce, rank_large, rank_large_zeros,
         index_large, mention_bag_shapes, ranks_from_files,
         postings_parse, postings_parse_permissive, postings_parse_rejects,
-        postings_placed, postings_placement, postings_join, postings_grouped, postings_bag_shapes,
+        postings_placed, postings_placement, postings_join, postings_join_bucketed, postings_counted_bucketed,
+        postings_grouped, postings_bag_shapes,
         postings_scored, postings_scored_pairs, postings_vectors, postings_vectors_matched,
-        sample_stratified, sample_stratified_large, sample_exact, nearest_center,
+        sample_stratified, sample_stratified_large, sample_exact, nearest_center, nearest_center_many,
         kmeans_step, kmeans_means, kmeans_small_spread, kmeans_history,
         cluster_summary, cluster_report, cluster_medians, clusters_from_files,
         survey_read, survey_classified, survey_summary,
@@ -534,6 +558,9 @@ UNION ALL SELECT 'by_index', keyword, n FROM found UNION ALL SELECT 'by_count',
 SELECT q.id AS qid, count(*) AS n, count(DISTINCT (q, a)) AS distinct_pairs, CAST(0 AS BIGINT) AS wrong
 FROM questions q JOIN answers a ON q.id = a.parent_id GROUP BY q.id""",
         "postings_join": f"WITH {_POSTINGS} SELECT q.id AS qid, {side['question']}, {side['answer']} FROM questions q JOIN answers a ON q.id = a.parent_id",
+        "postings_join_bucketed": f"WITH {_POSTINGS} SELECT q.id AS qid, {side['question']}, {side['answer']} FROM questions q JOIN answers a ON q.id = a.parent_id",
+        "postings_counted_bucketed": f"""WITH {_POSTINGS}
+SELECT q.id AS qid, count(*) AS pairs, greatest(max(a.score), 0) AS high_score FROM questions q JOIN answers a ON q.id = a.parent_id GROUP BY q.id""",
         "postings_grouped": f"""WITH {_POSTINGS}
 SELECT q.id AS qid, q.tags, a.id AS answer_id, a.score AS answer_score, count(*) AS copies
 FROM questions q JOIN answers a ON q.id = a.parent_id GROUP BY q.id, q.tags, a.id, a.score""",
@@ -546,6 +573,10 @@ SELECT id AS qid, CAST(({_POSITION} - 1) * {SETTINGS.spread} AS INTEGER) AS x, h
         "sample_stratified_large": f"WITH {_VECTORS}, {_sampled(MANY_PER_LANGUAGE)} SELECT qid, x, y, CAST(rn AS INTEGER) AS rn FROM sampled",
         "sample_exact": f"WITH {_VECTORS} SELECT qid, x, y FROM vectors ORDER BY {_ORDER}, x, y LIMIT {SAMPLE_SIZE}",
         "nearest_center": f"WITH {_VECTORS}, {_FIXED_MEANS} {_assigned('vectors', 'm', 'qid, x, y')}",
+        "nearest_center_many": """WITH points AS (SELECT c_custkey, c_custkey AS x, CAST(floor(c_acctbal * 30) AS BIGINT) AS y FROM customer),
+centers AS (SELECT o_orderkey AS idx, o_custkey AS cx, CAST(floor(o_totalprice) AS BIGINT) AS cy FROM orders WHERE o_orderstatus = 'F')
+SELECT c_custkey, x, y, arg_min(idx, {'d': CAST(x - cx AS DOUBLE) * (x - cx) + CAST(y - cy AS DOUBLE) * (y - cy), 'i': idx}) AS cluster
+FROM points, centers GROUP BY c_custkey, x, y""",
         "kmeans_step": f"WITH {_POINTS}, {_FIXED_MEANS} {_moved('m')}",
         "kmeans_means": f"WITH {_CLUSTERED} SELECT idx, cx, cy FROM m{UNROLLED}",
         "kmeans_small_spread": f"WITH {_CLUSTERED_NARROW} SELECT idx, cx, cy FROM m{UNROLLED}",

@@ -13,12 +13,15 @@ from tallyloom.operators.bags import (
     BAG_BYTES, BAG_SIZE, bag_of, bags_for, distinct_rows, in_every_bag, total_bytes, with_copies,
 )
 from tallyloom.operators.skew import shuffled_for_join
+from tallyloom.plans.layout import bucketed
 from tallyloom.sources.postings import SCHEMA
 
 COLUMNS = SCHEMA.fieldNames()
 # Fixed value: distance on the x axis between two neighbouring languages.
 SPREAD = 50_000
 INT_MAX = 2**31 - 1
+# Answers of one question that a bucket takes before they are dealt into several.
+PART_ROWS = 1_000_000
 
 
 def keyed(postings: DataFrame) -> DataFrame:
@@ -32,8 +35,8 @@ def place_by_key(postings: DataFrame, num_partitions: int) -> DataFrame:
 
     For laying out a table that is written. The id is part of the range, so a
     question with very many answers spans several partitions instead of filling
-    one. Joins below do not need this; there Spark hashes both sides and splits
-    a hot key at run time.
+    one. Joins cannot use ranges that were sampled apart; ``place_pairs`` lays
+    tables out for these.
     """
     return keyed(postings).repartitionByRange(num_partitions, "key", "id")
 
@@ -75,6 +78,43 @@ def pair_postings(postings: DataFrame, strict: bool = True) -> DataFrame:
     return questions.join(answers, "qid")
 
 
+def place_pairs(
+    postings: DataFrame, buckets: int, strict: bool = True, part_rows: int = PART_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Questions and answers as ``(qid, part, question)`` and ``(qid, part, answer)``, in tables that join without a shuffle.
+
+    For postings that are matched more than once: the shuffle is paid here. The
+    answers of a question with more than ``part_rows`` of them are dealt into
+    parts by a hash, and the question goes into each part, so that no bucket
+    holds all of a hot question.
+    """
+    questions, answers = _sides(postings, strict)
+    if part_rows < 1:
+        raise ValueError("part_rows must be positive")
+    parts = F.ceil(F.count(F.lit(1)) / part_rows).cast("long")
+    hot = shuffled_for_join(answers.groupBy("qid").agg(parts.alias("parts")).where("parts > 1"))
+    known = F.coalesce("parts", F.lit(1)).cast("long")
+    dealt = answers.join(hot, "qid", "left").select("qid", bag_of(F.col("answer"), "parts").alias("part"), "answer")
+    dealt = dealt.withColumn("part", F.coalesce("part", F.lit(0)).cast("long"))
+    spread = in_every_bag(questions.join(hot, "qid", "left").withColumn("parts", known), "parts", "part")
+    spread = spread.select("qid", F.col("part").cast("long").alias("part"), "question")
+    keys = ["qid", "part"]
+    return bucketed(spread, "questions", keys, buckets), bucketed(dealt, "answers", keys, buckets)
+
+
+def pair_placed(questions: DataFrame, answers: DataFrame) -> DataFrame:
+    """The pairs of ``pair_postings`` from tables of ``place_pairs``: a merge of sorted buckets, no shuffle."""
+    return questions.join(answers.hint("merge"), ["qid", "part"]).select("qid", "question", "answer")
+
+
+def count_placed(questions: DataFrame, answers: DataFrame) -> DataFrame:
+    """``(qid, pairs, high_score)`` per answered question id, from the same tables; only what is summed per part is shuffled."""
+    pairs = questions.join(answers.hint("merge"), ["qid", "part"])
+    by_part = pairs.groupBy("qid", "part").agg(F.count(F.lit(1)).alias("pairs"), F.max("answer.score").alias("best"))
+    best = F.greatest(F.max("best"), F.lit(0)).alias("high_score")
+    return by_part.groupBy("qid").agg(F.sum("pairs").alias("pairs"), best)
+
+
 def group_postings(
     postings: DataFrame, bag_size: int = BAG_SIZE, strict: bool = True, bag_bytes: int = BAG_BYTES
 ) -> DataFrame:

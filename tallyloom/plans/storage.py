@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,8 +29,55 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@dataclass
+class Scope:
+    """What was written while the scope was open, and what to run when it closes."""
+
+    paths: list[str] = field(default_factory=list)
+    statements: list[str] = field(default_factory=list)
+
+
+_OPEN: contextvars.ContextVar[Scope | None] = contextvars.ContextVar("tallyloom_scope", default=None)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[Scope]:
+    """Owns the intermediate tables written inside, and deletes them when it ends, also after a failure.
+
+    Results are read from these tables, so they have to be collected or written
+    elsewhere before. A scope within another ends first and takes its own tables only. Threads have
+    their own scopes. Without a scope, tables stay until someone deletes them.
+    """
+    opened = Scope()
+    token = _OPEN.set(opened)
+    try:
+        yield opened
+    finally:
+        _OPEN.reset(token)
+        for statement in opened.statements:
+            spark.sql(statement)
+        for path in opened.paths:
+            delete(spark, path)
+
+
+def at_end(spark: SparkSession, statement: str) -> None:
+    """Have the open scope, if there is one, run a statement when it ends."""
+    if (opened := _OPEN.get()) is not None:
+        opened.statements.append(statement)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store it is; none is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing uses yet; it belongs to the open scope, if there is one."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (opened := _OPEN.get()) is not None:
+        opened.paths.append(path)
+    return path
 
 
 #: Spark's setting for dropping the shuffle files of a query when it ends.
@@ -45,14 +94,18 @@ def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(FILE_CLEANUP, before)
 
 
-def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write the rows once and read them back, with the lineage cut.
+def written(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write the rows to a path once and read them back, with the lineage cut.
 
     Whatever comes after is safe from lost executors: it reads the files again
     instead of running the joins behind them again. The shuffle files of the
     write go when it ends.
     """
-    path = new_path(df.sparkSession, name)
     with _shuffles_dropped(df.sparkSession):
         df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """``written`` to a new path in the shared folder, which the open scope owns if there is one."""
+    return written(df, new_path(df.sparkSession, name), partition_by)

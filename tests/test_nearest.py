@@ -1,0 +1,83 @@
+"""The index over centres against comparing every point with every centre."""
+
+import random
+
+import pytest
+from helpers import plan, tuples
+
+from tallyloom.operators.nearest import assign_nearest, index_centers
+
+
+def frame(spark, rows, schema):
+    return spark.createDataFrame(rows, schema).repartition(4)
+
+
+def brute_force(points, centers):
+    found = []
+    for k, x, y in points:
+        if x is None or y is None:
+            found.append((k, x, y, -1))
+            continue
+        found.append((k, x, y, min(((float(x - cx) ** 2 + float(y - cy) ** 2, i) for i, cx, cy in centers))[1]))
+    return sorted(found, key=repr)
+
+
+def assigned(spark, points, centers, leaf):
+    points, centers = frame(spark, points, "k int, x int, y int"), frame(spark, centers, "idx int, cx int, cy int")
+    index = index_centers(centers, points, leaf=leaf)
+    return sorted(tuples(assign_nearest(points, index)), key=repr), index
+
+
+@pytest.mark.parametrize("spread, leaf", [(12, 1), (12, 4), (400, 3), (10_000, 16), (2_000_000_000, 8)])
+def test_nearest_is_that_of_brute_force(spark, spread, leaf):
+    """Few places have many ties; many places have cells of every size."""
+    rng = random.Random(spread)
+
+    def place():
+        if rng.random() < 0.5:  # crowded in a corner
+            return rng.randint(-20, 20), rng.randint(-20, 20)
+        return rng.randint(-spread, spread), rng.randint(-spread, spread)
+
+    centers = [(i, *place()) for i in range(500)]
+    rng.shuffle(centers)
+    points = [(k, *place()) for k in range(400)] + [(400, None, 3), (401, 3, None), (402, *centers[0][1:]), (402, *centers[0][1:])]
+    found, index = assigned(spark, points, centers, leaf)
+    assert found == brute_force(points, centers)
+    assert len(index.shifts) > 1
+
+
+def test_points_far_from_all_centres_and_single_places(spark):
+    centers = [(i, i % 50, i // 50) for i in range(1000)]
+    points = [(0, 10**9, -(10**9)), (1, -(10**9), 10**9), (2, 7, 7), (3, 7, 7)]
+    assert assigned(spark, points, centers, 4)[0] == brute_force(points, centers)
+    assert assigned(spark, points[2:], [(5, 1, 1), (3, 1, 1), (9, 13, 13)], 4)[0] == [(2, 7, 7, 3), (3, 7, 7, 3)]
+
+
+def test_all_centres_at_one_distance(spark):
+    ring = [(i, x, y) for i, (x, y) in enumerate([(5, 0), (-5, 0), (0, 5), (0, -5), (3, 4), (4, 3), (-3, 4), (3, -4)])][::-1]
+    assert assigned(spark, [(0, 0, 0)], ring, 2)[0] == [(0, 0, 0, 0)]
+
+
+def test_no_centres_or_points(spark):
+    points, none = frame(spark, [(0, 1, 1)], "k int, x int, y int"), spark.createDataFrame([], "idx int, cx int, cy int")
+    with pytest.raises(ValueError):
+        index_centers(none, points)
+    with pytest.raises(ValueError):
+        index_centers(frame(spark, [(None, 1, 1), (2, 1, 1)], "idx int, cx int, cy int"), points)
+    centers = frame(spark, [(4, 1, 1)], "idx int, cx int, cy int")
+    nowhere = frame(spark, [(0, None, None)], "k int, x int, y int")
+    assert tuples(assign_nearest(nowhere, index_centers(centers, nowhere))) == [(0, None, None, -1)]
+    assert assign_nearest(points.limit(0), index_centers(centers, points.limit(0))).isEmpty()
+
+
+def test_plan_does_not_grow_with_the_centres(spark):
+    rng = random.Random(2)
+    points = frame(spark, [(k, rng.randint(0, 9999), rng.randint(0, 9999)) for k in range(500)], "k int, x int, y int")
+    lengths = []
+    for n in (50, 5000):
+        centers = frame(spark, [(i, rng.randint(0, 9999), rng.randint(0, 9999)) for i in range(n)], "idx int, cx int, cy int")
+        index = index_centers(centers, points)
+        lengths.append(len(plan(assign_nearest(points, index))) / len(index.shifts))
+        # Each cell keeps a few of the centres.
+        assert index.cells.selectExpr("max(size(centers))").first()[0] <= 32
+    assert lengths[1] < 2 * lengths[0]
