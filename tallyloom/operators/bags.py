@@ -1,41 +1,64 @@
 """Nested groups ("bags") whose size stays bounded however hot a key is.
 
-Equal rows are counted before anything is collected, so a crowd of copies is
-one struct with its number of ``copies``. A key with more rows than the bag size
-or bytes is spread over several bags by a hash of the row. The hash depends on the
-row alone, hence a task that is run again puts it into the same bag. Both bounds
-are those of a bag on average.
+A first pass looks at digests and lengths only: it finds the keys that need
+several bags, and the crowds of equal rows. With that each row knows its bag
+before it moves, and is shuffled once, to where its bag is collected. Crowds are
+counted in each task before. A bag's rows are found by a hash of the row, which
+depends on the row alone, hence a task that is run again puts it into the same
+bag. Bounds are those of a bag on average.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.plans.storage import materialize
+
 BAG_SIZE = 10_000
 # Bytes of the rows of a bag, so that one of long texts still fits into an array.
 BAG_BYTES = 64 * 1024 * 1024
 # Longest array made to number the bags of one key.
 BLOCK = 4096
+# Equal rows beyond this number are counted in each task before they are shuffled.
+CROWD = 1_000
 
 
-def with_copies(rows: DataFrame) -> DataFrame:
-    """Distinct rows, and how often each occurs; combined before the shuffle."""
-    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+def profile(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """``(key, digest, copies, bytes)`` of the distinct rows, by a digest of ``columns``; written once, no row is shuffled.
+
+    Rows of equal digest count as equal here. That only decides how many bags a
+    key gets and what is counted early, never what a bag holds.
+    """
+    item = F.struct(*columns)
+    sizes = rows.select(key, F.xxhash64(item).alias("digest"), F.octet_length(item.cast("string")).cast("long").alias("bytes"))
+    sizes = sizes.groupBy(key, "digest").agg(F.count(F.lit(1)).alias("copies"), F.max("bytes").alias("bytes"))
+    return materialize(sizes, "profile")
 
 
-def distinct_rows() -> Column:
-    """Aggregate: the number of rows of ``with_copies`` in a group.
+def in_bags(rows: DataFrame, profiled: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Distinct ``(key..., columns...)`` with their ``copies``, lying together by ``key``: one shuffle of the rows.
 
-    By way of ``copies``, so that Spark needs that column here as well as where
-    the rows are collected, and uses one shuffle of them for both.
+    Members of a crowd are counted in each task first; only what is left of
+    them is shuffled twice.
     """
-    return F.sum(F.least("copies", F.lit(1)))
+    rows = rows.select(*key, *columns)
+    crowds = profiled.where(F.col("copies") > CROWD).select(F.col("digest").alias("__crowd")).distinct()
+    single = F.lit(1).cast("long").alias("copies")
+    if crowds.isEmpty():
+        counted = rows.select("*", single)
+    else:
+        marked = rows.join(crowds, F.xxhash64(F.struct(*columns)) == F.col("__crowd"), "left")
+        alone = marked.where("__crowd IS NULL").drop("__crowd").select("*", single)
+        counted = alone.unionByName(with_copies(marked.where("__crowd IS NOT NULL").drop("__crowd")))
+    return counted.repartition(*key).groupBy(*key, *columns).agg(F.sum("copies").alias("copies"))
 
 
-def total_bytes(row: Column) -> Column:
-    """Aggregate: bytes of the rows of a group, by their length as text."""
-    return F.sum(F.octet_length(row.cast("string")).cast("bigint"))
+def with_copies(rows: DataFrame) -> DataFrame:
+    """Distinct rows, and how often each occurs; combined before the shuffle."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def bags_for(rows: Column, size: Column, bag_size: int, bag_bytes: int) -> Column:

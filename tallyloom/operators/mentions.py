@@ -16,10 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.tokens import checked_vocabulary, mentioned, mentions, tokens
-from tallyloom.operators.bags import (
-    BAG_BYTES, BAG_SIZE, bag_of, bags_for, distinct_rows, total_bytes, with_copies,
-)
-from tallyloom.operators.skew import shuffled_for_join
+from tallyloom.operators.bags import BAG_BYTES, BAG_SIZE, bag_of, bags_for, in_bags, profile
 from tallyloom.plans.storage import materialize
 
 
@@ -138,16 +135,17 @@ def bag_index(
     """Inverted index in nested form: ``(keyword, bag, n, articles)`` with bounded arrays.
 
     ``articles`` holds ``struct(columns..., copies)`` and stands for ``n`` rows.
-    The last shuffle is spelled out: otherwise that of the join would serve for
-    grouping too, and Spark could not split a hot keyword there.
+    Articles are shuffled once, to their bags; how many bags a keyword needs comes
+    from a pass over digests, and only keywords with several bags are looked up.
     """
-    counted = with_copies(index.select("keyword", *columns))
-    size = total_bytes(F.struct(*columns))
-    bags = counted.groupBy("keyword").agg(bags_for(distinct_rows(), size, bag_size, bag_bytes).alias("bags"))
+    columns = list(columns)
+    profiled = profile(index, "keyword", columns)
+    bags = bags_for(F.count(F.lit(1)), F.sum("bytes"), bag_size, bag_bytes)
+    hot = materialize(profiled.groupBy("keyword").agg(bags.alias("bags")).where("bags > 1"), "hot-keywords")
+    dealt = index.select("keyword", *columns).join(hot, "keyword", "left")
+    dealt = dealt.withColumn("bag", F.coalesce(bag_of(F.struct(*columns), "bags"), F.lit(0).cast("long")))
     return (
-        counted.join(shuffled_for_join(bags), "keyword")
-        .withColumn("bag", bag_of(F.struct(*columns), "bags"))
-        .repartition("keyword", "bag")
+        in_bags(dealt, profiled, ["keyword", "bag"], columns)
         .groupBy("keyword", "bag")
         .agg(F.sum("copies").alias("n"), F.collect_list(F.struct(*columns, "copies")).alias("articles"))
     )

@@ -20,9 +20,9 @@ from tallyloom.operators.skew import shuffled_for_join
 from tallyloom.plans.storage import materialize
 
 # A cell with no more centres than this is not cut further.
-LEAF = 32
-# Bits by which the side of a cell shrinks at a time: a cell has 64 parts.
-STEP = 3
+LEAF = 64
+# Bits by which the side of a cell shrinks at a time: a cell has 256 parts.
+STEP = 4
 
 
 class CenterIndex(NamedTuple):

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tallyloom.functions.postings import ANSWER, QUESTION, language_position, posting_key
 from tallyloom.functions.tokens import LANGUAGES
 from tallyloom.operators.bags import (
-    BAG_BYTES, BAG_SIZE, bag_of, bags_for, distinct_rows, in_every_bag, total_bytes, with_copies,
+    BAG_BYTES, BAG_SIZE, bag_of, bags_for, in_bags, in_every_bag, profile,
 )
 from tallyloom.operators.skew import shuffled_for_join
 from tallyloom.plans.layout import bucketed
+from tallyloom.plans.storage import materialize
 from tallyloom.sources.postings import SCHEMA
 
 COLUMNS = SCHEMA.fieldNames()
@@ -124,18 +125,20 @@ def group_postings(
     pairs. A salted join: the answers of a question are dealt out to its bags,
     and the question goes into each of them. (The other way round as well, for
     an id that very many different questions share.) So the pairs are made where
-    they are collected, and those of a hot question in many tasks.
+    they are collected, and those of a hot question in many tasks. Questions and
+    answers are shuffled once, to these bags; how many there are comes from a
+    pass over digests, and only ids with several bags are looked up.
     """
-    questions, answers = (with_copies(side) for side in _sides(postings, strict))
+    questions, answers = _sides(postings, strict)
+    asked_rows, answered_rows = profile(questions, "qid", ["question"]), profile(answers, "qid", ["answer"])
     asked, answered = F.col("asked"), F.col("answered")
     per_bag = F.least(asked, F.lit(bag_size))
     # Of the pairs of a question bag: its questions once per answer, and the other way round.
     paired = answered * F.least(F.col("asked_bytes"), F.lit(bag_bytes)) + per_bag * F.col("answered_bytes")
     bags = (
-        questions.groupBy("qid").agg(distinct_rows().alias("asked"), total_bytes(F.col("question")).alias("asked_bytes"))
+        asked_rows.groupBy("qid").agg(F.count(F.lit(1)).alias("asked"), F.sum("bytes").alias("asked_bytes"))
         .join(
-            answers.groupBy("qid")
-            .agg(distinct_rows().alias("answered"), total_bytes(F.col("answer")).alias("answered_bytes")),
+            answered_rows.groupBy("qid").agg(F.count(F.lit(1)).alias("answered"), F.sum("bytes").alias("answered_bytes")),
             "qid",
         )
         .select(
@@ -143,30 +146,31 @@ def group_postings(
             bags_for(asked, F.col("asked_bytes"), bag_size, bag_bytes).alias("question_bags"),
             bags_for(answered * per_bag, paired, bag_size, bag_bytes).alias("answer_bags"),
         )
+        .where("question_bags > 1 OR answer_bags > 1")
     )
-    bags = shuffled_for_join(bags)
+    bags = materialize(bags, "hot-questions")
+
+    def looked_up(side: DataFrame) -> DataFrame:
+        found = side.join(bags, "qid", "left")
+        return found.withColumns({name: F.coalesce(name, F.lit(1).cast("long")) for name in ("question_bags", "answer_bags")})
+
+    key = ["qid", "question_bag", "answer_bag"]
     dealt_questions = in_every_bag(
-        questions.withColumnRenamed("copies", "question_copies").join(bags, "qid")
-        .withColumn("question_bag", bag_of(F.col("question"), "question_bags")),
-        "answer_bags", "answer_bag",
-    ).drop("question_bags", "answer_bags")
+        looked_up(questions).withColumn("question_bag", bag_of(F.col("question"), "question_bags")), "answer_bags", "answer_bag"
+    )
     dealt_answers = in_every_bag(
-        answers.withColumnRenamed("copies", "answer_copies").join(bags, "qid")
-        .withColumn("answer_bag", bag_of(F.col("answer"), "answer_bags")),
-        "question_bags", "question_bag",
+        looked_up(answers).withColumn("answer_bag", bag_of(F.col("answer"), "answer_bags")), "question_bags", "question_bag"
     )
-    copies = F.col("question_copies") * F.col("answer_copies")
-    key = ["qid", "question_bag", "answer_bag"]
-    return (
+    dealt_questions = in_bags(dealt_questions, asked_rows, key, ["question"]).withColumnRenamed("copies", "question_copies")
+    dealt_answers = in_bags(dealt_answers, answered_rows, key, ["answer"])
+    copies = F.col("question_copies") * F.col("copies")
+    nested = (
         dealt_questions.join(dealt_answers, key)
         .groupBy(*key)
-        .agg(
-            F.first(F.col("question_bag") * F.col("answer_bags") + F.col("answer_bag")).alias("bag"),
-            F.sum(copies).alias("n"),
-            F.collect_list(F.struct("question", "answer", copies.alias("copies"))).alias("pairs"),
-        )
-        .drop("question_bag", "answer_bag")
+        .agg(F.sum(copies).alias("n"), F.collect_list(F.struct("question", "answer", copies.alias("copies"))).alias("pairs"))
     )
+    # A number per bag of the question: both parts are below 2**31, as many bags would hold all ints.
+    return nested.select("qid", (F.shiftleft("question_bag", 32) + F.col("answer_bag")).alias("bag"), "n", "pairs")
 
 
 def ungroup_postings(grouped: DataFrame) -> DataFrame:

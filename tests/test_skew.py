@@ -4,7 +4,7 @@ import pytest
 from helpers import plan
 from pyspark.sql import functions as F
 
-from tallyloom.operators import mentions, postings
+from tallyloom.operators import bags, mentions, postings
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -84,13 +84,36 @@ def test_scoring_splits_an_id_that_a_third_of_all_questions_share(skewed):
     assert df.count() == 5999 and df.where("id = 7 AND high_score = 49").count() == 3000
 
 
-def test_bags_of_a_hot_keyword(spark, skewed):
-    """Too few bag counts to be worth a shuffle: here they are broadcast, if Spark may."""
+@pytest.fixture()
+def hot_index(spark, tmp_path):
     texts = spark.range(0, 3000, 1, 6).select(F.col("id").cast("string").alias("title"), F.concat_ws(" ", F.lit("the"), F.col("id"), F.when(F.col("id") % 3 == 0, "la")).alias("text"))
-    index = mentions.index_articles(texts, ["the", "la", "zzz"])
-    bags = mentions.bag_index(index, bag_size=100)
-    text = final_plan(bags)
-    assert "skew=true" in text and "ReusedExchange" in text
+    path = str(tmp_path / "texts")
+    texts.write.parquet(path)
+    return mentions.index_articles(spark.read.parquet(path), ["the", "la", "zzz"])
+
+
+def test_bags_of_a_hot_keyword(skewed, hot_index):
+    """Here the keywords with several bags may not be broadcast: Spark splits the hot one where it is looked up."""
+    bags = mentions.bag_index(hot_index, bag_size=100)
+    assert "skew=true" in final_plan(bags)
     rows = bags.groupBy("keyword").agg(F.sum("n"), F.max(F.size("articles")), F.count("bag")).collect()
     assert {r[0]: r[1] for r in rows} == {"the": 3000, "la": 1000}
     assert all(r[2] < 200 for r in rows) and all(r[3] >= r[1] / 100 for r in rows)
+
+
+def test_an_article_is_shuffled_once_into_its_bag(hot_index):
+    """By default the few keywords with several bags are broadcast."""
+    text = final_plan(mentions.bag_index(hot_index, bag_size=100))
+    assert text.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+
+
+def test_a_crowd_is_counted_before_it_is_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(bags, "CROWD", 50)
+    rows = [("copy", "the same")] * 2000 + [(str(i), f"the {i % 700}") for i in range(1400)] + [("twice", "the x")] * 2
+    index = mentions.index_articles(spark.createDataFrame(rows, "title string, text string").repartition(4), ["the"])
+    df = mentions.bag_index(index, bag_size=100)
+    found = {(a["title"], a["text"]): a["copies"] for r in df.collect() for a in r["articles"]}
+    assert found == {("copy", "the same"): 2000, ("twice", "the x"): 2} | {(str(i), f"the {i % 700}"): 1 for i in range(1400)}
+    assert df.agg(F.sum("n"), F.sum(F.size("articles"))).first()[:] == (3402, 1402)
+    # Of the crowd each task sends one row.
+    assert "partial_count" in plan(df)
