@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import text_of
-from tallyloom.plans.storage import new_path
+from tallyloom.plans.storage import materialize, new_path
 
 #: Words compiled into the automaton: the most frequent ones, of at most so many bytes.
 LEXICON_WORDS = 1 << 17
@@ -471,10 +471,26 @@ def _write(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def frequent_words(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_WORDS) -> list[str]:
+    """Words that occur at least n times in all documents, for the least n that leaves ``size`` words at most; 2 at least.
+
+    n comes from how many words share each count: a table as short as the root of
+    the number of words in all texts. A limit on sorted words would send the driver
+    that many from every partition.
+    """
+    counts = materialize(count_words(docs, tokenizer_path).where("n > 1"), "word-counts")
+    least, words = None, 0
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        words += r["words"]
+        if words > size:
+            break
+        least = r["n"]
+    return [] if least is None else [r["word"] for r in counts.where(F.col("n") >= least).select("word").collect()]
+
+
 def fit_lexicon(docs: DataFrame, tokenizer_path: str, size: int = LEXICON_WORDS) -> LexiconFile:
-    """The ``size`` most frequent words of all documents, compiled (ties by word). The driver sees these words only."""
-    counts = count_words(docs, tokenizer_path)
-    frequent = [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(size).select("word").collect()]
+    """The frequent words of all documents, ``size`` at most, compiled. The driver sees these words only."""
+    frequent = frequent_words(docs, tokenizer_path, size)
     name = f"lexicon-{uuid.uuid4().hex}"
     path = new_path(docs.sparkSession, "lexicon") + f"/{name}"
     _write(docs.sparkSession, path, compile_lexicon(frequent, tokenizer_path))

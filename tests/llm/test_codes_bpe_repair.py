@@ -190,6 +190,9 @@ def test_words_are_counted_over_all_texts(spark, library):
             want[word.replace("Ġ", " ")] = want.get(word.replace("Ġ", " "), 0) + 1
     want.pop("x" * 100)  # longer than words of the lexicon may be
     assert {r["word"]: r["n"] for r in bpe.count_words(docs, TOKENIZER).collect()} == want
+    for size in (0, 2, 5, 100):
+        least = min(n for n in [*want.values(), 99] if n > 1 and sum(m >= n for m in want.values()) <= size)
+        assert sorted(bpe.frequent_words(docs, TOKENIZER, size)) == sorted(w for w, n in want.items() if n >= least)
 
 
 def test_odd_rows_are_encoded_and_decoded(spark, library):
