@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import kept_small, map_batches, sliced
 from tallyloom.operators.skew import shuffled_for_join
-from tallyloom.plans.storage import materialize
+from tallyloom.plans.storage import delete, new_path, written
 
 PARTS = 4
 ENTRIES = 256
@@ -206,12 +206,14 @@ def compress(
     seeds = found.select(F.col(order).alias("o"), ints.alias("v")).orderBy(F.asc_nulls_last("o"), "v").limit(entries).collect()
     books = np.array([r["v"] for r in seeds], np.int64).reshape(len(seeds), parts, width).transpose(1, 0, 2)
 
-    table, moved, compared = found.select(*keep, ints.cast("array<int>").alias("__ints")), None, []
-    n = None
+    table, moved, compared, before = found.select(*keep, ints.cast("array<int>").alias("__ints")), None, [], None
     for number in range(rounds + 1):
-        table = materialize(_assigned(table, books, moved, schema, keep), f"codes-{number}")
-        took, count = table.agg(F.sum("__took"), F.count(F.lit(1))).first()
-        n = count
+        path = new_path(rows.sparkSession, f"codes-{number}")
+        table = written(_assigned(table, books, moved, schema, keep), path)
+        if before:  # nothing reads the round before any more
+            delete(rows.sparkSession, before)
+        before = path
+        took, n = table.agg(F.sum("__took"), F.count(F.lit(1))).first()
         compared.append((int(took), n * parts * books.shape[1]))
         if number < rounds:
             after = _moved_entries(books, _sums(table, books).collect())
