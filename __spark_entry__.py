@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.survey import ActivityColumns, classify_columns
-from tallyloom.operators import clusters, mentions, nearest, postings, sampling, survey
+from tallyloom.operators import clusters, mentions, nearest, postings, quantiles, sampling, survey
 from tallyloom.plans import flows
 from tallyloom.plans.storage import new_path
 from tallyloom.sources import tables
-from tallyloom.sources.articles import article_lines, article_rejects, parse_articles, read_articles
-from tallyloom.sources.postings import parse_postings, posting_lines, posting_rejects, read_postings
+from tallyloom.sources.articles import article_lines, article_rejects, parse_articles, read_articles, split_articles
+from tallyloom.sources.postings import parse_postings, posting_lines, posting_rejects, read_postings, split_postings
 from tallyloom.sources.survey import read_survey
 
 KEYWORD = "the"
@@ -32,6 +32,7 @@ NUM_PARTITIONS = 8
 # Small enough that questions of the test tables are dealt into several parts.
 PART_ROWS = 3
 SAMPLE_SIZE = 9
+FRACTIONS = (0.0, 0.01, 0.25, 0.5, 0.9, 0.999, 1.0)
 ACTIVITIES = ActivityColumns(["t010101", "t030101"], ["t050101"], ["t020101", "t040101"])
 
 
@@ -70,6 +71,14 @@ def article_parse_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return article_rejects(_mixed_article_lines(spark, sf))
 
 
+def article_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles, and the lines that are none with the reason, from one pass."""
+    good, bad = split_articles(_mixed_article_lines(spark, sf))
+    nothing = F.lit(None).cast("string")
+    rejects = bad.select(nothing.alias("title"), nothing.alias("text"), "value", "reason")
+    return good.select("title", "text", nothing.alias("value"), nothing.alias("reason")).unionByName(rejects)
+
+
 def mention_occurrences(spark: SparkSession, sf: str) -> DataFrame:
     return mentions.occurrences(tables.articles(spark, sf), KEYWORD)
 
@@ -162,6 +171,14 @@ def postings_parse_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return posting_rejects(_mixed_posting_lines(spark, sf))
 
 
+def postings_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Postings, and the lines that are none with the reason, from one pass."""
+    good, bad = split_postings(_mixed_posting_lines(spark, sf))
+    nothing = F.lit(None).cast("string")
+    good = good.select(F.col("id"), "score", "tags", nothing.alias("value"), nothing.alias("reason"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 def postings_placed(spark: SparkSession, sf: str) -> DataFrame:
     return postings.place_by_key(tables.postings(spark, sf), NUM_PARTITIONS)
 
@@ -303,6 +320,16 @@ def cluster_medians(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.exact_median(points, "o_orderpriority", "cents", "w")
 
 
+def order_price_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact quantiles of order prices per status, as they are: doubles."""
+    return quantiles.exact_quantiles(tables.table(spark, sf, "orders"), "o_orderstatus", "o_totalprice", FRACTIONS)
+
+
+def line_key_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact quantiles of order keys per line number: 64-bit integers, each several times."""
+    return quantiles.exact_quantiles(tables.table(spark, sf, "lineitem"), "l_linenumber", "l_orderkey", FRACTIONS)
+
+
 # -- survey -----------------------------------------------------------------
 
 
@@ -365,17 +392,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
-        article_parse, article_parse_permissive, article_parse_rejects,
+        article_parse, article_parse_permissive, article_parse_rejects, article_split,
         mention_occurrences, mention_index, mention_index_bags,
         rank_naive, rank_index, rank_index_bags, rank_reduce, rank_large, rank_large_zeros,
         index_large, mention_bag_shapes, ranks_from_files,
-        postings_parse, postings_parse_permissive, postings_parse_rejects,
+        postings_parse, postings_parse_permissive, postings_parse_rejects, postings_split,
         postings_placed, postings_placement, postings_join, postings_join_bucketed, postings_counted_bucketed,
         postings_grouped, postings_bag_shapes,
         postings_scored, postings_scored_pairs, postings_vectors, postings_vectors_matched,
         sample_stratified, sample_stratified_large, sample_exact, nearest_center, nearest_center_many,
         kmeans_step, kmeans_means, kmeans_small_spread, kmeans_history,
-        cluster_summary, cluster_report, cluster_medians, clusters_from_files,
+        cluster_summary, cluster_report, cluster_medians, order_price_quantiles, line_key_quantiles, clusters_from_files,
         survey_read, survey_classified, survey_summary,
         survey_grouped, survey_grouped_sql, survey_grouped_typed, survey_from_files,
     )}
@@ -519,6 +546,15 @@ SELECT working, sex, age, round(avg("primaryNeeds"), 1) AS "primaryNeeds", round
 FROM summed GROUP BY working, sex, age ORDER BY working, sex, age"""
 
 
+def _quantiles(table: str, group: str, value: str) -> str:
+    """SQL for the value at the place of each fraction among a group's sorted values."""
+    fractions = ", ".join(f"(CAST({f!r} AS DOUBLE))" for f in FRACTIONS)
+    return f"""WITH sorted AS (
+  SELECT {group}, {value} AS quantile, row_number() OVER (PARTITION BY {group} ORDER BY {value}) AS place, count(*) OVER (PARTITION BY {group}) AS n
+  FROM {table} WHERE {value} IS NOT NULL)
+SELECT {group}, fraction, quantile, n FROM sorted JOIN (VALUES {fractions}) f(fraction) ON place = greatest(CAST(ceil(n * fraction) AS BIGINT), 1)"""
+
+
 def oracle_sql() -> dict[str, str]:
     more = _llm()
     return _own_sql() | (more.oracle_sql() if more else {})
@@ -531,6 +567,10 @@ def _own_sql() -> dict[str, str]:
         "article_parse": f"SELECT CAST(doc_id AS VARCHAR) AS title, {_ONE_LINE} AS text FROM documents",
         "article_parse_permissive": f"SELECT CAST(doc_id AS VARCHAR) AS title, {_ONE_LINE} AS text FROM documents WHERE lang = 'en'",
         "article_parse_rejects": f"SELECT {_ONE_LINE} AS value FROM documents WHERE lang IS DISTINCT FROM 'en'",
+        "article_split": f"""SELECT CAST(doc_id AS VARCHAR) AS title, {_ONE_LINE} AS text, NULL AS value, NULL AS reason FROM documents WHERE lang = 'en'
+UNION ALL SELECT NULL, NULL, {_ONE_LINE}, 'no delimiter' FROM documents WHERE lang IS DISTINCT FROM 'en'""",
+        "postings_split": """SELECT o_orderkey AS id, CAST(0 AS INTEGER) AS score, o_orderpriority AS tags, NULL AS value, NULL AS reason FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT NULL, NULL, NULL, concat('1,', o_orderkey, ',,,n/a,', o_orderpriority), 'score is no number' FROM orders WHERE o_orderstatus = 'P'""",
         "mention_occurrences": f"SELECT {_text(KEYWORD)} AS keyword, count(*) AS n FROM documents WHERE list_contains(string_split(text, ' '), {_text(KEYWORD)})",
         "mention_index": f"WITH {_HITS} SELECT keyword, title, text FROM hits",
         "mention_index_bags": f"WITH {_HITS} SELECT keyword, title, text, count(*) AS copies FROM hits GROUP BY keyword, title, text",
@@ -587,6 +627,8 @@ SELECT steps.* FROM steps, last WHERE steps.iteration <= last.iteration""",
         "cluster_report": f"WITH {_SUMMARY} SELECT printf({_text(clusters.REPORT_LINE)}, median, lang, pct_int, size) AS line, CAST(row_number() OVER (ORDER BY median, lang, size, pct) AS INTEGER) AS position FROM summary",
         "clusters_from_files": f"WITH {_SUMMARY} SELECT * FROM summary ORDER BY median, lang, size",
         "cluster_medians": "SELECT o_orderpriority, CAST(trunc(median(CAST(round(o_totalprice * 100) AS INTEGER))) AS INTEGER) AS median FROM orders GROUP BY o_orderpriority",
+        "order_price_quantiles": _quantiles("orders", "o_orderstatus", "o_totalprice"),
+        "line_key_quantiles": _quantiles("lineitem", "l_linenumber", "l_orderkey"),
         "survey_read": f"WITH {_SURVEY} SELECT * FROM survey",
         "survey_classified": f"WITH {_SURVEY} " + " UNION ALL ".join(
             f"SELECT {_text(label)} AS class, {_text(name)} AS name, round(sum({name}), 0) AS minutes FROM survey"

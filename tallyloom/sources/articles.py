@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.checks import holds_or_fails
+from tallyloom.sources.split import Split, split_by_reason
 
 # The line format.
 TITLE_START = 14
@@ -34,10 +35,25 @@ def parse_articles(lines: DataFrame, strict: bool = True) -> DataFrame:
     """
     well_formed = _well_formed()
     kept = holds_or_fails(well_formed, "malformed article line") if strict else well_formed
-    return _located(lines).where(kept).select(
+    return _located(lines).where(kept).select(*_parts())
+
+
+def _parts() -> list[Column]:
+    return [
         F.substring("value", F.lit(TITLE_START + 1), F.col("at") - 1 - TITLE_START).alias("title"),
         F.substring("value", F.col("at") + len(DELIMITER), _text_length()).alias("text"),
+    ]
+
+
+def split_articles(lines: DataFrame) -> Split:
+    """The results of a non-strict ``parse_articles`` and of ``article_rejects`` from one pass over the lines, with reasons."""
+    reason = (
+        F.when(F.col("value").isNull(), "no line")
+        .when(F.col("at") == 0, "no delimiter")
+        .when(F.col("at") <= TITLE_START, "no title")
+        .when(_text_length() < 0, "text cut off")
     )
+    return split_by_reason(_located(lines).select("*", *_parts()), reason, ["title", "text"], "articles")
 
 
 def article_rejects(lines: DataFrame) -> DataFrame:

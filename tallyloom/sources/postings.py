@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.checks import holds_or_fails
+from tallyloom.sources.split import Split, split_by_reason
 
 SCHEMA = T.StructType([
     T.StructField("posting_type", T.IntegerType()),
@@ -67,6 +68,20 @@ def posting_rejects(lines: DataFrame) -> DataFrame:
     return _split(lines).where(~F.col("good")).select("value")
 
 
+def split_postings(lines: DataFrame) -> Split:
+    """The results of a non-strict ``parse_postings`` and of ``posting_rejects`` from one pass over the lines.
+
+    The reason names the first field that is missing or no number.
+    """
+    wrong = []
+    for f in SCHEMA:
+        raw = F.col(f"raw_{f.name}")
+        if f.name in REQUIRED:
+            wrong.append(F.when(raw.isNull(), F.lit(f"{f.name} is missing")))
+        wrong.append(F.when(raw.isNotNull() & F.col(f.name).isNull(), F.lit(f"{f.name} is no number")))
+    return split_by_reason(_split(lines), F.coalesce(*wrong), SCHEMA.fieldNames(), "postings")
+
+
 def read_postings(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     return parse_postings(spark.read.text(path), strict)
 
