@@ -281,6 +281,39 @@ def test_a_passage_is_shared_with_one_partner(spark):
     assert sorted((r["doc_id"], r["start_word"], r["end_word"], r["partner_id"]) for r in found) == [(500, 40, 108, 501), (501, 40, 108, 500)]
 
 
+def test_fuzzy_passages_of_frequent_lines(spark):
+    """One word of 68 changed, every line and each two neighbouring ones frequent in other documents."""
+    random = np.random.default_rng(12)
+    text = lambda n: ["".join(random.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    docs, changed = {}, range(17, 51, 2)
+    for n, at in enumerate(changed):
+        lines, base = [text(17) for _ in range(4)], 10_000 * n
+        whole = [w for line in lines for w in line]
+        docs[base + 500] = text(40) + whole + text(40)
+        docs[base + 501] = text(40) + whole[:at] + text(1) + whole[at + 1 :] + text(40)
+        parts = [lines[k] + lines[k + 1] for k in range(3)] + lines
+        docs |= {base + k + shift: text(40) + part + text(40) for k, part in enumerate(parts) for shift in (0, 20, 900, 920)}
+    rows = [(k, " ".join(d)) for k, d in docs.items()]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    asked = {10_000 * n + 500 + k for n in range(len(changed)) for k in (0, 1)}
+    assert {r["doc_id"] for r in found} <= asked
+    assert sum(r["start_word"] <= 42 and r["end_word"] >= 106 for r in found) >= 0.9 * len(asked)
+
+
+def test_long_runs_that_others_have_are_found_by_brute_force(spark, documents):
+    """Each run of 51 words of a document that another one has lies in one of its passages."""
+    texts = {int(i): (t or "").lower().split() for i, t in zip(documents["doc_id"], documents["text"])}
+    holders: dict[tuple, set] = {}
+    for doc, words in texts.items():
+        for k in range(len(words) - substring.RUN + 1):
+            holders.setdefault(tuple(words[k : k + substring.RUN]), set()).add(doc)
+    found: dict[int, list] = {}
+    for r in substring.repeated_passages(spark.createDataFrame(documents[["doc_id", "text"]])).collect():
+        found.setdefault(r["doc_id"], []).append((r["start_word"], r["end_word"]))
+    shared = [(doc, k) for doc, words in texts.items() for k in range(len(words) - substring.RUN + 1) if len(holders[tuple(words[k : k + substring.RUN])]) > 1]
+    assert shared and all(any(s <= k and k + substring.RUN <= e for s, e in found.get(doc, ())) for doc, k in shared)
+
+
 def test_chains_take_the_best_match_in_reach():
     random = np.random.default_rng(3)
     for _ in range(40):
