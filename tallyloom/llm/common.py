@@ -25,6 +25,13 @@ def id_remainder(modulus: int, name: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit(""))) % modulus
 
 
+def free_prefix(prefix: str, columns: list[str]) -> str:
+    """The prefix, longer until no column's name begins with it."""
+    while any(c.lower().startswith(prefix.lower()) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def kept_small(df: DataFrame, row_bytes: int, name: str) -> tuple[DataFrame, bool]:
     """The rows, written once, and whether they are few enough to broadcast (then hinted so)."""
     written = materialize(df, name)

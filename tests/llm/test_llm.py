@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from oracle import TESTDATA, connect, differences
 from tokenizers import Tokenizer
 
@@ -209,6 +210,36 @@ def test_exact_copies(spark, odd, empty):
     assert exact_dedup.mark_copies(empty).count() == 0 and exact_dedup.drop_copies(empty).count() == 0
 
 
+def test_copies_beside_columns_of_any_name(spark):
+    columns = ["doc_id", "text", "__copy_id", "__copy_full", "__COPY__x", "n", "at"]
+    docs = spark.createDataFrame([(k, "abc" * (k % 3), 7, "own", "y", 1, 2) for k in range(6)], columns)
+    marked = exact_dedup.mark_copies(docs)
+    assert marked.columns == [*columns, "keep_id", "group_size", "kept"]
+    assert sorted(marked.select("doc_id", "keep_id", "group_size", "kept", "__copy_id", "__copy_full").collect()) == [
+        (k, k % 3 + 3, 2, k >= 3, 7, "own") for k in range(6)
+    ]
+    assert exact_dedup.drop_copies(docs).columns == columns
+
+
+@pytest.mark.parametrize("bits", [1, 64, 1 << 28])
+def test_copies_whatever_the_bitmap_lets_through(spark, monkeypatch, bits):
+    """Equal lengths, equal prefixes, and equal texts; a full bitmap only costs hashes."""
+    monkeypatch.setattr(exact_dedup, "BITMAP_BITS", bits)
+    texts = [f"{'p' * 200}{k % 40:03d}" for k in range(100)] + [f"{k:04d}" for k in range(300)] + ["x" * k for k in range(300)] + [None, "", "x" * 5_000_000, "x" * 5_000_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups: dict[str, list] = {}
+    for k, text in enumerate(texts):
+        groups.setdefault(text or "", []).append(k)
+    expected = sorted((k, max(g), len(g), k == max(g)) for g in groups.values() for k in g)
+    assert sorted(exact_dedup.mark_copies(docs).select("doc_id", "keep_id", "group_size", "kept").collect()) == expected
+
+
+def test_only_rows_that_share_a_prefix_are_hashed_in_full(spark):
+    docs = spark.createDataFrame([(0, "aaaa"), (1, "aaaa"), (2, "bbbb"), (3, "ccccc")], "doc_id long, text string")
+    hashed, _ = exact_dedup._joined(docs.withColumn("__copy_id", F.col("doc_id")), F.col("text"), 128, "__copy_")
+    assert sorted(r["doc_id"] for r in hashed.where("length(__copy_full) = 64").collect()) == [0, 1]
+
+
 def test_passages(spark):
     random = np.random.default_rng(6)
     word = lambda: "".join(random.choice(list("abcdefghij"), 6))
