@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import kept_small, map_batches, mix64, sliced, text_of
 from tallyloom.llm.components import components
+from tallyloom.operators.skew import shuffled_for_join
 from tallyloom.plans.storage import materialize
 
 WIDTH = 5
@@ -282,7 +283,8 @@ def _meetings(docs: DataFrame, grains: dict[int, float], counts: np.ndarray) ->
             yield combined(sig, cls)
 
     rows = docs.mapInArrow(run, _MET)
-    met = rows.selectExpr("sig", "cls", "pivot AS local", "min(CASE WHEN pivot IS NULL THEN cls END) OVER (PARTITION BY sig, pivot IS NULL ORDER BY cls ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS least")
+    # Only classes that a task passed on look for the least; the others of a frequent signature are spread by class.
+    met = rows.selectExpr("sig", "cls", "pivot AS local", "min(CASE WHEN pivot IS NULL THEN cls END) OVER (PARTITION BY sig, CASE WHEN pivot IS NOT NULL THEN cls END ORDER BY cls ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS least")
     return met.selectExpr("sig", "cls", "coalesce(local, least) AS pivot").where("cls <> pivot")
 
 
@@ -370,7 +372,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if roots is not None:
         named = named.join(roots.selectExpr("node AS cls", "root"), "cls", "left").select("cls", "least", F.coalesce("root", "cls").alias("root"))
         lowest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-        named = named.join(lowest, "root")
+        named = named.join(shuffled_for_join(lowest), "root")
     else:
         named = named.withColumnRenamed("least", "component_id")
     named = materialize(named.select("cls", "component_id"), "named")
