@@ -501,3 +501,12 @@ def test_runs_of_any_length_have_the_tokenizers_ids(spark):
         ids = np.array([*library.encode(text, add_special_tokens=False).ids, packing.END], "<u4")
         want |= {(k, a): (b - a, zlib.crc32(ids[a:b].tobytes()), len(ids)) for a, b in packing.cuts(len(ids), packing.CAPACITY)}
     assert {(r["doc_id"], r["start"]): tuple(r)[2:] for r in found.collect()} == want
+
+
+def test_matches_in_line_have_the_scores_of_the_tree():
+    random = np.random.default_rng(21)
+    for _ in range(60):
+        steps = random.choice([3, 9, 20, 60, 70, 80, 400], (int(random.integers(2, 60)), 2))
+        a, b = steps.cumsum(0).T
+        line, tree = substring._in_line(a, b), substring._in_tree(a, b)
+        assert np.allclose(line[0], tree[0]) and line[1] == tree[1]
