@@ -510,3 +510,26 @@ def test_matches_in_line_have_the_scores_of_the_tree():
         a, b = steps.cumsum(0).T
         line, tree = substring._in_line(a, b), substring._in_tree(a, b)
         assert np.allclose(line[0], tree[0]) and line[1] == tree[1]
+
+
+def test_unchanged_stretches_are_those_of_the_alignment(monkeypatch):
+    random = np.random.default_rng(22)
+    known = 0
+    for _ in range(80):
+        x = random.integers(0, 60_000, 120)
+        y, at = np.concatenate([random.integers(0, 60_000, int(random.integers(0, 9))), x]), len(x)
+        at = len(y) - at
+        y[random.integers(0, len(y), int(random.integers(0, 3)))] = 7
+        starts = np.sort(random.choice(100, 4, replace=False))
+        starts = np.array([s for s in starts if (x[s : s + substring.SEED] == y[s + at : s + at + substring.SEED]).all()])
+        if not len(starts):
+            continue
+        anchors = np.column_stack([starts, starts + at])
+        found = substring.aligned(x, y, anchors)
+        if substring._without_change(x, y, anchors) is not None:
+            known += 1
+            with monkeypatch.context() as m:
+                m.setattr(substring, "_without_change", lambda *_: None)
+                plain = substring.aligned(x, y, anchors)
+            assert found == plain
+    assert known > 20
