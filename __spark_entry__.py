@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.survey import ActivityColumns, classify_columns
-from tallyloom.operators import clusters, mentions, nearest, postings, quantiles, sampling, survey
+from tallyloom.operators import bounded, clusters, mentions, nearest, postings, quantiles, sampling, survey
 from tallyloom.plans import flows
 from tallyloom.plans.storage import new_path
 from tallyloom.sources import tables
@@ -299,6 +299,14 @@ def kmeans_history(spark: SparkSession, sf: str) -> DataFrame:
     return flows.cluster_questions(postings_vectors(spark, sf), SETTINGS).clustering.history_frame(spark)
 
 
+def kmeans_bounded_means(spark: SparkSession, sf: str) -> DataFrame:
+    return flows.cluster_questions(postings_vectors(spark, sf), SETTINGS, bounded.kmeans).clustering.means_frame(spark)
+
+
+def kmeans_bounded_history(spark: SparkSession, sf: str) -> DataFrame:
+    return flows.cluster_questions(postings_vectors(spark, sf), SETTINGS, bounded.kmeans).clustering.history_frame(spark)
+
+
 def cluster_summary(spark: SparkSession, sf: str) -> DataFrame:
     return flows.cluster_questions(postings_vectors(spark, sf), SETTINGS).summary
 
@@ -402,6 +410,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         postings_scored, postings_scored_pairs, postings_vectors, postings_vectors_matched,
         sample_stratified, sample_stratified_large, sample_exact, nearest_center, nearest_center_many,
         kmeans_step, kmeans_means, kmeans_small_spread, kmeans_history,
+        kmeans_bounded_means, kmeans_bounded_history,
         cluster_summary, cluster_report, cluster_medians, order_price_quantiles, line_key_quantiles, clusters_from_files,
         survey_read, survey_classified, survey_summary,
         survey_grouped, survey_grouped_sql, survey_grouped_typed, survey_from_files,
@@ -563,6 +572,10 @@ def oracle_sql() -> dict[str, str]:
 def _own_sql() -> dict[str, str]:
     scored = f"WITH {_SCORED} SELECT * FROM scored"
     side = {name: ", ".join(f"{name[0]}.{c} AS {name}_{c}" for c in postings.COLUMNS) for name in ("question", "answer")}
+    means = f"WITH {_CLUSTERED} SELECT idx, cx, cy FROM m{UNROLLED}"
+    history = f"""WITH {_CLUSTERED}, steps AS ({_HISTORY}),
+last AS (SELECT min(iteration) AS iteration FROM (SELECT iteration FROM steps GROUP BY iteration HAVING sum(distance) < {SETTINGS.eta}) s)
+SELECT steps.* FROM steps, last WHERE steps.iteration <= last.iteration"""
     return {
         "article_parse": f"SELECT CAST(doc_id AS VARCHAR) AS title, {_ONE_LINE} AS text FROM documents",
         "article_parse_permissive": f"SELECT CAST(doc_id AS VARCHAR) AS title, {_ONE_LINE} AS text FROM documents WHERE lang = 'en'",
@@ -618,11 +631,11 @@ centers AS (SELECT o_orderkey AS idx, o_custkey AS cx, CAST(floor(o_totalprice)
 SELECT c_custkey, x, y, arg_min(idx, {'d': CAST(x - cx AS DOUBLE) * (x - cx) + CAST(y - cy AS DOUBLE) * (y - cy), 'i': idx}) AS cluster
 FROM points, centers GROUP BY c_custkey, x, y""",
         "kmeans_step": f"WITH {_POINTS}, {_FIXED_MEANS} {_moved('m')}",
-        "kmeans_means": f"WITH {_CLUSTERED} SELECT idx, cx, cy FROM m{UNROLLED}",
+        "kmeans_means": means,
+        "kmeans_bounded_means": means,
         "kmeans_small_spread": f"WITH {_CLUSTERED_NARROW} SELECT idx, cx, cy FROM m{UNROLLED}",
-        "kmeans_history": f"""WITH {_CLUSTERED}, steps AS ({_HISTORY}),
-last AS (SELECT min(iteration) AS iteration FROM (SELECT iteration FROM steps GROUP BY iteration HAVING sum(distance) < {SETTINGS.eta}) s)
-SELECT steps.* FROM steps, last WHERE steps.iteration <= last.iteration""",
+        "kmeans_history": history,
+        "kmeans_bounded_history": history,
         "cluster_summary": f"WITH {_SUMMARY} SELECT * FROM summary ORDER BY median, lang, size",
         "cluster_report": f"WITH {_SUMMARY} SELECT printf({_text(clusters.REPORT_LINE)}, median, lang, pct_int, size) AS line, CAST(row_number() OVER (ORDER BY median, lang, size, pct) AS INTEGER) AS position FROM summary",
         "clusters_from_files": f"WITH {_SUMMARY} SELECT * FROM summary ORDER BY median, lang, size",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,17 +45,20 @@ class ClusteredQuestions(NamedTuple):
 
 
 def cluster_questions(
-    scored_vectors: DataFrame, settings: clusters.ClusterSettings = clusters.ClusterSettings()
+    scored_vectors: DataFrame,
+    settings: clusters.ClusterSettings = clusters.ClusterSettings(),
+    kmeans: Callable[..., clusters.Clustering] = clusters.kmeans,
 ) -> ClusteredQuestions:
     """Sample, cluster and summarise points.
 
     The points are written once: both the sample and the weights read them, and
-    the join behind them should run once.
+    the join behind them should run once. ``bounded.kmeans`` gives the same clusters
+    with fewer comparisons.
     """
     vectors = materialize(scored_vectors, "vectors")
     start = clusters.initial_means(vectors, settings)
     points = materialize(clusters.weigh_points(vectors), "points")
-    clustering = clusters.kmeans(points, start, settings.eta, settings.max_iterations)
+    clustering = kmeans(points, start, settings.eta, settings.max_iterations)
     return ClusteredQuestions(
         points, clustering, clusters.summarize_clusters(points, clustering.means, settings)
     )
