@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import map_batches, sigmoid, text_of
+from tallyloom.llm.common import free_prefix, map_batches, sigmoid, text_of
 
 #: Texts of each language that the classifiers are fitted on, and of all together; with many languages each has an equal share.
 PER_LANGUAGE, IN_ALL = 1000, 6000
@@ -123,8 +123,9 @@ def identify(docs: DataFrame, model: LanguageModel | None, keep: list[str] | Non
     """
     names = ["lang_pred", "score", "ambiguous"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    rows = docs.select(*[F.col(c) for c in keep], text_of().alias("__scored"))
-    schema = rows.drop("__scored").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(True)}).schema
+    scored = free_prefix("__scored", keep)
+    rows = docs.select(*[F.col(c) for c in keep], text_of().alias(scored))
+    schema = rows.drop(scored).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(True)}).schema
     last = len(keep)
 
     def make():

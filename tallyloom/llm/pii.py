@@ -1,16 +1,21 @@
 """Personal data: rules give base spans, a boosted model over wider candidates adds to them.
 
 High-recall generators propose overlapping spans. Boosted trees judge them by
-format and context; they are trained on the corpus itself, where a candidate that
-is a base span is a positive and one that has nothing to do with a base match a
-negative (a candidate inside a match that its rule dropped is neither). A
-threshold per kind comes from the precision on candidates held out. Base spans
-always stay; of overlapping additions the likeliest stays.
+format and context. What they learn to add are forms that the rules don't know:
+positives are base spans of the corpus rewritten into such forms (spelled-out
+addresses, numbers without plus, other separators, IPv6) in their own contexts, negatives
+look-alikes (dates, amounts, serial numbers) in the same and in other contexts and
+candidates that a rule dropped. Any other candidate of the corpus is unlabelled: it is a
+negative only if a first model, fitted without it, finds it unlikely. A threshold per
+kind comes from the precision on candidates held out. Base spans always stay; of
+overlapping additions the likeliest stays.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import map_batches, sampled_texts, sigmoid, text_of
+from tallyloom.llm.common import free_prefix, map_batches, sampled_texts, sigmoid, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents, and candidates of them, that the trees are fitted on.
@@ -36,11 +41,20 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
 # Generators, wider than the rules.
+_AT = re.compile(r"@|[(\[][aA][tT][)\]]")
 _WIDE = {
-    "email": re.compile(r"[\w.%+-]{1,64} ?(?:@|\(at\)|\[at\]) ?[\w-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[\w-]{1,63}){1,6}"),
-    "ip": re.compile(r"(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}|[0-9]{1,3}(?:[.,-][0-9]{1,3}){3}"),
-    "card": re.compile(r"(?<![0-9])[0-9]{4}[ ./-]?[0-9]{4}[ ./-]?[0-9]{4}[ ./-]?[0-9]{4}(?:[ ./-]?[0-9]{1,3})?(?![0-9])"),
-    "phone": re.compile(r"(?<![0-9])(?:\+|00|\()?[0-9]{1,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?![0-9])"),
+    "email": re.compile(
+        r"[\w.%+-]{1,64} ?(?:@|[(\[][aA][tT][)\]]) ?[\w-]{1,63}(?:(?:\.| ?[(\[][dD][oO][tT][)\]] ?)[\w-]{1,63}){1,6}"
+    ),
+    "ip": re.compile(
+        r"(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])"
+        r"|(?<![0-9])[0-9]{1,3}(?:(?:[.,-]|\[\.\])[0-9]{1,3}){3}(?![0-9])"
+    ),
+    "card": re.compile(
+        r"(?<![0-9])(?:[0-9]{4}[ ./-]?[0-9]{4}[ ./-]?[0-9]{4}[ ./-]?[0-9]{4}(?:[ ./-]?[0-9]{1,3})?"
+        r"|3[47][0-9]{2}[ ./-]?[0-9]{6}[ ./-]?[0-9]{5})(?![0-9])"
+    ),
+    "phone": re.compile(r"(?<![0-9])(?:\+|00|\()?[0-9]{1,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,8}\)?){1,5}(?![0-9])"),
 }
 # Words that often stand before personal data.
 _HINTS = {
@@ -105,9 +119,9 @@ def matches(text: str) -> dict[str, list[tuple[int, int, bool]]]:
 
 
 def candidates(text: str) -> list[tuple[str, int, int]]:
-    found = []
+    found, has_digit = [], _DIGIT.search(text)
     for kind, wide in _WIDE.items():
-        if kind == "email" and "@" not in text and "(at)" not in text and "[at]" not in text:
+        if not (_AT.search(text) if kind == "email" else has_digit):
             continue
         found += [(kind, m.start(), m.end()) for m in wide.finditer(text)]
     return found
@@ -124,7 +138,8 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
     words = before.lower().split()[-3:]
     return [
         KINDS.index(kind), len(span), len(digits), len(digits) / len(span), len(sizes), min(sizes), max(sizes), sizes[0], sizes[-1],
-        span.startswith("+"), "(" in span, " " in span, "-" in span, span.count("."), ":" in span, "@" in span,
+        span.startswith("+"), "(" in span, " " in span, "-" in span, span.count("."), span.count(":"), "::" in span, "@" in span,
+        span.count(","), "/" in span, "[" in span, digits.startswith("00"), 1900 <= int(digits[:4] or 0) <= 2100, 1900 <= int(digits[-4:] or 0) <= 2100,
         luhn(digits) if digits else 0, all(g.isdigit() and int(g[:6]) <= 255 for g in groups if g), digits.startswith("0"),
         before[-1:].isalnum(), before[-1:] in (" ", "\n", ""), after[:1].isalnum(), after[:1] in (" ", "\n", "", ".", ","),
         len(_DIGIT.findall(around)) / max(1, len(around)), any(w.strip(":.#") in _HINTS[kind] for w in words),
@@ -174,9 +189,9 @@ def _grow(binned: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray,
     return splits, RATE * np.bincount(at, g, 2**DEPTH) / (np.bincount(at, h, 2**DEPTH) + 1)
 
 
-def fit(rows: np.ndarray, labels: np.ndarray) -> Trees | None:
-    """Trees on half of the candidates, calibration and thresholds on the other; None without both labels in each half."""
-    half = np.arange(len(labels)) % 2 == 0
+def fit(rows: np.ndarray, labels: np.ndarray, half: np.ndarray | None = None) -> Trees | None:
+    """Trees on ``half`` of the candidates, calibration and thresholds on the other; None without both labels in each half."""
+    half = np.arange(len(labels)) % 2 == 0 if half is None else half
     if len(labels) < 4 or not 0 < labels[half].mean() < 1 or not 0 < labels[~half].mean() < 1:
         return None
     x, y = rows[half], labels[half].astype(float)
@@ -206,29 +221,116 @@ def fit(rows: np.ndarray, labels: np.ndarray) -> Trees | None:
         low = (share + 1.92 / n - 1.96 * np.sqrt(share * (1 - share) / n + 0.96 / n**2)) / (1 + 3.84 / n)
         good = np.nonzero(low >= PRECISION)[0]
         if len(good):
-            model.thresholds[kind] = max(float(p[own][order][good[-1]]), PRECISION)
+            # Between the last candidate that may pass and the next one.
+            ranked = np.append(p[own][order], 0.0)
+            model.thresholds[kind] = max(float(ranked[good[-1] : good[-1] + 2].mean()), PRECISION)
     return model
 
 
-def _training(sample: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    rows, labels = [], []
-    for text in sample:
-        found = matches(text)
+def _with_luhn(digits: str) -> str:
+    """The digits with a last one that makes the check sum right."""
+    return digits + next(c for c in "0123456789" if luhn(digits + c))
+
+
+def _digits(draw: random.Random, n: int) -> str:
+    return "".join(draw.choice("0123456789") for _ in range(n))
+
+
+def disguises(kind: str, span: str, draw: random.Random) -> list[str]:
+    """Forms of a base span that its rule doesn't know."""
+    digits = "".join(_DIGIT.findall(span))
+    if kind == "email":
+        name, _, host = span.partition("@")
+        at = draw.sample([(" (at) ", " (dot) "), ("(at)", "(dot)"), (" [at] ", "."), ("[at]", "[dot]"), (" @ ", "."), (" (AT) ", ".")], 4)
+        return [name + a + host.replace(".", dot) for a, dot in at]
+    if kind == "ip":
+        groups = [f"{draw.choice((0, draw.randrange(256), draw.randrange(65536), draw.randrange(65536))):x}" for _ in range(8)]
+        small = ".".join(str(draw.randrange(draw.choice((10, 100, 256)))) for _ in range(4))
+        left, right = draw.randrange(1, 5), draw.randrange(4, 8)
+        return [":".join(groups), ":".join(groups[:left]) + "::" + ":".join(groups[right:]), span.replace(".", "[.]"), small.replace(".", "[.]"), span.replace(".", "-")]
+    if kind == "card":
+        amex = _with_luhn("3" + draw.choice("47") + _digits(draw, 12))
+        four = [digits[k : k + 4] for k in range(0, len(digits), 4)]
+        return [".".join(four), "/".join(four), f"{amex[:4]} {amex[4:10]} {amex[10:]}", amex]
+    area, middle, last = draw.choice("23456789") + _digits(draw, 2), _digits(draw, 3), _digits(draw, 4)
+    city, number = "0" + draw.choice("123456789") + _digits(draw, draw.randrange(1, 3)), _digits(draw, 8)
+    forms = [
+        f"({area}) {middle}-{last}", f"{area}-{middle}-{last}", f"{area}.{middle}.{last}", f"{city} {number[:4]} {number[4:]}",
+        f"{city}/{number[:7]}", f"{city}-{number}", "00" + span[1:] if re.fullmatch(r"\+[0-9]{1,3}[ -].*", span) else f"0044 {area[1:]} {last} {last}",
+    ]
+    return draw.sample(forms, 4)
+
+
+def look_alikes(draw: random.Random) -> list[str]:
+    """Numbers that the generators propose and that are nobody's: dates, ranges, amounts, versions, serial and part numbers."""
+    d, year, month, day = lambda n: _digits(draw, n), draw.randrange(1900, 2100), draw.randrange(1, 13), draw.randrange(1, 29)
+    bad = _digits(draw, 16)
+    bad = bad if not luhn(bad) else bad[:-1] + str((int(bad[-1]) + 1) % 10)
+    cut = [bad[k : k + 4] for k in range(0, 16, 4)]
+    forms = [
+        f"{year}-{month:02}-{day:02}", f"{day:02}.{month:02}.{year}", f"{month}/{day}/{year}", f"{year}-{year + draw.randrange(1, 30)}", f"{year}/{year % 100 + 1:02}",
+        f"{day}-{month:02}", f"{draw.randrange(1, 999)} {d(3)} {d(3)}", f"{draw.randrange(1, 9)},{d(3)},{d(3)},{d(3)}", f"{draw.randrange(1, 9)},{draw.choice(('250', '100', '000'))},000,000", f"{draw.randrange(1, 999)}.{d(2)}",
+        f"{draw.randrange(1, 20)}.{draw.randrange(40)}.{d(2)}", f"{year}-{d(6)}", f"{d(3)}-{d(2)}-{d(4)}", f"{d(5)}-{d(4)}",
+        f"{draw.randrange(100, 999)}-{d(2)}", f"{d(2)}/{d(2)}", ".".join(cut), " ".join(cut), "/".join(cut), bad,
+        ":".join(f"{draw.randrange(256):02x}" for _ in range(6)), f"{draw.randrange(24):02}:{draw.randrange(60):02}:{draw.randrange(60):02}:{d(2)}",
+        f"{draw.randrange(256, 999)}-{d(3)}-{d(3)}-{d(3)}", f"{draw.randrange(1, 9)},{draw.randrange(1, 9)},{draw.randrange(1, 9)},{draw.randrange(1, 9)}",
+    ]
+    return draw.sample(forms, 3)
+
+
+def _training(sample: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the sample's texts: features, labels (-1 unlabelled), and the text's number, of candidates; repeats of a text count once."""
+    rows, labels, source = [], [], []
+
+    def put(before: str, form: str, after: str, kind: str | None, number: int) -> None:
+        """Candidates over a planted form: right is the whole form as its kind, any other is wrong."""
+        text, start, end = before[-60:] + form + after[:60], len(before[-60:]), len(before[-60:]) + len(form)
+        taken = [m for several in matches(text).values() for m in several if m[2]]
+        for of, s, e in candidates(text):
+            if s < end and start < e and not any(m[0] < e and s < m[1] for m in taken):
+                rows.append(features(text, of, s, e))
+                labels.append(int((of, s, e) == (kind, start, end)))
+                source.append(number)
+
+    for number, text in enumerate(dict.fromkeys(sample)):
+        draw, found = random.Random(zlib.crc32(text.encode("utf-8", "replace"))), matches(text)
+        accepted = [(kind, s, e) for kind in KINDS for s, e, good in found[kind] if good]
+        for kind, start, end in accepted[:32]:
+            for form in disguises(kind, text[start:end], draw):
+                put(text[:start], form, text[end:], kind, number)
+            for form in look_alikes(draw):
+                put(text[:start], form, text[end:], None, number)
+        blanks = [m.start() for m in re.finditer(r" ", text[:100_000])]
+        if blanks and (accepted or draw.random() < 0.1):
+            for form in look_alikes(draw):
+                at = draw.choice(blanks)
+                put(text[: at + 1], form, text[at:], None, number)
         for kind, start, end in candidates(text):
-            own = [m for m in found[kind] if m[0] < end and start < m[1]]
-            exact = [m for m in own if m[:2] == (start, end)]
-            if exact or not own:
+            if not any(s < end and start < e for _, s, e in accepted):
+                dropped = any(m[:2] == (start, end) for m in found[kind])
                 rows.append(features(text, kind, start, end))
-                labels.append(bool(exact and exact[0][2]))
+                labels.append(0 if dropped else -1)
+                source.append(number)
         if len(rows) >= CANDIDATES:
             break
-    return np.array(rows, float), np.array(labels, bool)
+    return np.array(rows, float), np.array(labels, int), np.array(source, int)
+
+
+def fit_texts(sample: list[str]) -> Trees | None:
+    """Fit on texts: once on what is labelled, then with the unlabelled candidates that this finds unlikely as negatives."""
+    rows, labels, source = _training(sample)
+    half, known = source % 2 == 0, labels >= 0
+    first = fit(rows[known], labels[known] == 1, half[known])
+    if first is None or known.all():
+        return first
+    known[~known] = first.probability(rows[~known]) < 0.5
+    return fit(rows[known], labels[known] == 1, half[known])
 
 
 def fit_pii(docs: DataFrame, documents: int = DOCUMENTS) -> Trees | None:
     """Fit on the candidates of at most so many rows, drawn by a hash of the id."""
     anyone = docs.select("doc_id", F.lit(None).alias("label")).where("doc_id IS NOT NULL")
-    return fit(*_training([t for t, _ in sampled_texts(docs, anyone, documents)]))
+    return fit_texts([t for t, _ in sampled_texts(docs, anyone, documents)])
 
 
 def added_spans(text: str, found: dict[str, list[tuple[int, int, bool]]], model: Trees) -> list[tuple[str, int, int, float]]:
@@ -259,8 +361,9 @@ def find_pii(docs: DataFrame, model: Trees | None, keep: list[str] | None = None
     * A column called ``pii`` is replaced; all others pass. Repeated rows get the same result.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c != "pii"]
-    rows = docs.select(*[F.col(c) for c in keep], text_of().alias("__scored"))
-    schema = rows.drop("__scored").withColumn("pii", F.lit(None).cast(SPANS)).schema
+    scored = free_prefix("__scored", keep)
+    rows = docs.select(*[F.col(c) for c in keep], text_of().alias(scored))
+    schema = rows.drop(scored).withColumn("pii", F.lit(None).cast(SPANS)).schema
     last = len(keep)
     kind_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()), ("p", pa.float64())]))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import majority_labels, map_batches, sampled_texts, sigmoid, text_of
+from tallyloom.llm.common import free_prefix, majority_labels, map_batches, sampled_texts, sigmoid, text_of
 
 #: Texts in the two samples that the model is fitted on.
 POSITIVES, UNLABELLED = 3000, 6000
@@ -161,8 +161,9 @@ def score_quality(docs: DataFrame, model: QualityModel | None, keep: list[str] |
     * A column called ``score`` is replaced; all others pass. Repeated rows are scored alike.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c != "score"]
-    rows = docs.select(*[F.col(c) for c in keep], text_of().alias("__scored"))
-    schema = rows.drop("__scored").withColumn("score", F.lit(0.0)).schema
+    scored = free_prefix("__scored", keep)
+    rows = docs.select(*[F.col(c) for c in keep], text_of().alias(scored))
+    schema = rows.drop(scored).withColumn("score", F.lit(0.0)).schema
     last = len(keep)
 
     def make():

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import majority_labels, map_batches, sampled_texts, sigmoid, text_of
+from tallyloom.llm.common import free_prefix, majority_labels, map_batches, sampled_texts, sigmoid, text_of
 
 #: Labelled documents in the sample that the field is fitted on.
 DOCUMENTS = 2000
@@ -248,8 +248,9 @@ def tag_toxic(docs: DataFrame, model: ToxicityModel | None, keep: list[str] | No
     """
     names = ["score", "expected", "spans"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    rows = docs.select(*[F.col(c) for c in keep], text_of().alias("__scored"))
-    schema = rows.drop("__scored").withColumns({"score": F.lit(0.0), "expected": F.lit(0.0), "spans": F.lit(None).cast(SPANS)}).schema
+    scored = free_prefix("__scored", keep)
+    rows = docs.select(*[F.col(c) for c in keep], text_of().alias(scored))
+    schema = rows.drop(scored).withColumns({"score": F.lit(0.0), "expected": F.lit(0.0), "spans": F.lit(None).cast(SPANS)}).schema
     last = len(keep)
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
 

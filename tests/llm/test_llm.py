@@ -1,6 +1,7 @@
 """The operators against brute force, exact round trips and held-out accuracy."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -407,6 +408,69 @@ def test_base_spans_equal_the_rules(spark, documents):
         assert hashlib.sha256(expected.encode()).hexdigest() == row["base_sha256"] and set(expected.split(",")) <= set(row["spans"].split(","))
 
 
+def _plants(draw):
+    """Personal data in forms that the rules don't know, by kind."""
+    digits = lambda n: "".join(draw.choice("0123456789") for _ in range(n))
+    return [
+        ("phone", f"({draw.randrange(200, 999)}) {digits(3)}-{digits(4)}"), ("phone", f"0{draw.randrange(10, 99)} {digits(4)} {digits(4)}"),
+        ("phone", "(212) 555-0142"), ("phone", "030 1234 5678"), ("phone", f"0{draw.randrange(100, 999)}/{digits(7)}"),
+        ("email", f"jane.doe{digits(2)} (at) example (dot) org"), ("email", "info[at]firm.co.uk"), ("email", "a_b @ mail.net"),
+        ("ip", "2001:db8:85a3:0:0:8a2e:370:7334"), ("ip", f"fe80::{draw.randrange(65536):x}"), ("ip", "10[.]0[.]3[.]17"),
+        ("card", "378282246310005"), ("card", "4111.1111.1111.1111"),
+    ]
+
+
+def _numbers(draw):
+    """What looks like it and is not."""
+    digits = lambda n: "".join(draw.choice("0123456789") for _ in range(n))
+    return [
+        "978-3-16-148410-0", f"20{digits(2)}-{draw.randrange(1, 13):02}-{draw.randrange(1, 29):02}", f"{draw.randrange(1, 32)}/{draw.randrange(1, 13)}/20{digits(2)}",
+        "4111 1111 1111 1112", "16:9:4:3", "12 000 000", f"No. {digits(3)}-{digits(3)}", "555.10", "1,250,000,000", "19-23", f"{digits(2)}.{digits(5)}",
+    ]
+
+
+@pytest.fixture(scope="module")
+def pii_model(spark):
+    return pii.fit_pii(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 5 > 0"))
+
+
+def test_additions_find_planted_forms_and_no_look_alikes(spark, pii_model):
+    held_out = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 5 = 0 AND length(text) > 300").orderBy("doc_id").limit(150)
+    draw, found, planted, added = random.Random(5), {k: 0 for k in pii.KINDS}, {k: 0 for k in pii.KINDS}, 0
+    rows, expected = [], {}
+    for text in [r["text"] for r in held_out.collect()]:
+        blanks = [k for k, c in enumerate(text) if c == " "]
+        for kind, form in [*_plants(draw), *[(None, f) for f in _numbers(draw)]]:
+            at = draw.choice(blanks) + 1
+            expected[len(rows)] = (kind, at, at + len(form))
+            rows.append((len(rows), text[:at] + form + " " + text[at:]))
+    for row in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"), pii_model).collect():
+        kind, start, end = expected[row["doc_id"]]
+        additions = [(s["kind"], s["start"], s["end"]) for s in row["pii"] if not s["base"]]
+        base = ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in row["pii"] if s["base"])
+        assert base == ",".join(_spans(row["text"]))
+        added += len(additions)
+        if kind:
+            planted[kind] += 1
+            found[kind] += (kind, start, end) in additions
+    assert all(found[k] >= 0.8 * planted[k] for k in pii.KINDS), (found, planted)
+    assert sum(found.values()) >= 0.9 * added, (found, added)
+
+
+def test_disguises_are_proposed_whole_and_not_base(spark):
+    draw = random.Random(1)
+    spans = {"email": "jane@mail.example.org", "ip": "192.168.17.40", "card": "4111111111111111", "phone": "+49 30 1234567"}
+    for kind, span in spans.items():
+        for form in [f for _ in range(20) for f in pii.disguises(kind, span, draw)]:
+            text = f"so {form} is it"
+            assert (kind, 3, 3 + len(form)) in pii.candidates(text), form
+            assert not any(good for several in pii.matches(text).values() for *_, good in several if kind != "card"), form
+
+
+def test_a_corpus_without_personal_data_adds_nothing(spark):
+    assert pii.fit_texts([]) is None and pii.fit_texts(["", "no numbers here", "only 12-12 and 1999"]) is None
+
+
 # -- 9, 10
 
 
@@ -466,7 +530,7 @@ def _runs(spark, docs):
 
 
 def test_odd_rows(spark, odd):
-    counts = {name: df.count() for name, df in _runs(spark, odd.withColumn("score", odd.source).withColumn("pii", odd.lang)).items()}
+    counts = {name: df.count() for name, df in _runs(spark, odd.withColumns({"score": odd.source, "pii": odd.lang, "__scored": odd.lang, "__SCORED_": odd.source})).items()}
     assert all(counts[k] == len(ODD) for k in ("toxic", "quality", "near", "copies", "pii", "language")) and counts["packed"] >= len(ODD)
 
 
