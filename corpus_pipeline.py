@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import decontaminate, exact_dedup, jaccard_join, packing, quality
-from tallyloom.llm.common import kept_small
+from tallyloom.llm.common import free_prefix, kept_small
 from tallyloom.plans.storage import materialize
 from tallyloom.sources.tables import table
 
@@ -19,9 +19,10 @@ ORACLE_SQL = None
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows that the classifier, fitted on the labelled ones of them, accepts."""
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score_quality(docs.withColumnRenamed("score", "__score"), model)
+    aside = free_prefix("__score", docs.columns)
+    scored = quality.score_quality(docs.withColumnRenamed("score", aside), model)
     kept = scored.where(scored["score"] >= GOOD).drop("score")
-    return kept.withColumnRenamed("__score", "score").select(*docs.columns)
+    return kept.withColumnRenamed(aside, "score").select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
