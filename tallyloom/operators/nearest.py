@@ -10,19 +10,17 @@ the number of centres.
 
 from __future__ import annotations
 
-import functools
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.skew import shuffled_for_join
-from tallyloom.plans.storage import materialize
+from tallyloom.plans.storage import delete, materialize, new_path, written
 
 # A cell with no more centres than this is not cut further.
 LEAF = 64
-# Bits by which the side of a cell shrinks at a time: a cell has 256 parts.
-STEP = 4
+# Bits by which the side of a cell shrinks at a time: a cell has 16 parts.
+STEP = 2
 
 
 class CenterIndex(NamedTuple):
@@ -59,15 +57,24 @@ def _reach(shift: int, origin: tuple[int, int]) -> tuple[Column, Column]:
     return least[0] + least[1], greatest[0] + greatest[1]
 
 
-def _pruned(found: DataFrame, shift: int, origin: tuple[int, int]) -> DataFrame:
-    """Rows ``(u, v, idx, cx, cy)`` of centres that can be nearest in their cell, with the ``n`` of the cell."""
+def _cells(wide: DataFrame, parts: DataFrame, shift: int, origin: tuple[int, int]) -> DataFrame:
+    """The cells ``parts`` ``(u, v, u0, v0)`` with their ``bound``, and the number ``n`` of centres that can be nearest there.
+
+    ``wide`` are the centres ``(u0, v0, idx, cx, cy)`` of the cells that are cut. Each meets all
+    parts of its cell, but that is only summed up within the join's tasks: no such row is shuffled or written.
+    """
     least, greatest = _reach(shift, origin)
-    bounds = shuffled_for_join(found.groupBy("u", "v").agg(F.min(greatest).alias("bound")))
-    kept = found.join(bounds, ["u", "v"]).where(least <= F.col("bound")).drop("bound")
-    if shift == 0:  # one point: all that are left are as near
-        kept = kept.groupBy("u", "v").agg(F.min(F.struct("idx", "cx", "cy")).alias("c")).select("u", "v", "c.*")
-    sizes = shuffled_for_join(kept.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n")))
-    return kept.join(sizes, ["u", "v"])
+    bounds = wide.join(parts, ["u0", "v0"]).groupBy("u", "v").agg(F.min(greatest).alias("bound"))
+    whole = [F.shiftright(at, STEP).alias(f"{at}0") for at in "uv"]
+    bounds = materialize(bounds.select("u", "v", *whole, "bound"), "bounds")
+    sizes = wide.join(bounds, ["u0", "v0"]).where(least <= F.col("bound")).groupBy("u", "v", "bound").agg(F.count(F.lit(1)).alias("n"))
+    return materialize(sizes.select("u", "v", *whole, "bound", "n"), "sizes")
+
+
+def _pruned(wide: DataFrame, cells: DataFrame, shift: int, origin: tuple[int, int]) -> DataFrame:
+    """Rows ``(u, v, idx, cx, cy)`` of the centres that can be nearest in one of ``cells``."""
+    least, _ = _reach(shift, origin)
+    return wide.join(cells.drop("n"), ["u0", "v0"]).where(least <= F.col("bound")).select("u", "v", "idx", "cx", "cy")
 
 
 def index_centers(centers: DataFrame, points: DataFrame, leaf: int = LEAF) -> CenterIndex:
@@ -89,26 +96,38 @@ def index_centers(centers: DataFrame, points: DataFrame, leaf: int = LEAF) -> Ce
     origin = (int(low_x), int(low_y))
     span = max(int(high_x) - origin[0], int(high_y) - origin[1])
     shift = -(-span.bit_length() // STEP) * STEP
-    zero = F.lit(0).cast("long")
-    found = placed.select(zero.alias("u"), zero.alias("v"), "idx", "cx", "cy")
-    finished, shifts = [], []
+    spark, zero = points.sparkSession, F.lit(0).cast("long")
+    wide, path = placed.select(zero.alias("u0"), zero.alias("v0"), "idx", "cx", "cy"), None
+    parts = spark.range(1).select(*[zero.alias(at) for at in ("u", "v", "u0", "v0")])
+    folder, shifts = new_path(spark, "center-index"), []
     while True:
-        kept = materialize(_pruned(found, shift, origin), "cells")
-        few = kept.where("n <= {}".format(leaf)) if shift else kept
-        cells = few.groupBy("u", "v").agg(F.collect_list(F.struct("cx", "cy", "idx")).alias("centers"))
-        finished.append(cells.select(F.lit(shift).alias("shift"), "u", "v", "centers"))
         shifts.append(shift)
-        wide = kept.where(f"n > {leaf}").drop("n")
-        if shift == 0 or wide.isEmpty():
+        cells = _cells(wide, parts, shift, origin)
+        few, many = (cells.where(f"n <= {leaf}"), cells.where(f"n > {leaf}")) if shift else (cells, cells.where("false"))
+        last = many.isEmpty()
+        if last or not few.isEmpty():
+            found = _pruned(wide, few, shift, origin).groupBy("u", "v")
+            lists = F.collect_list(F.struct("cx", "cy", "idx"))
+            if shift == 0:  # one point: all that are left are as near
+                best = F.min(F.struct("idx", "cx", "cy"))
+                lists = F.array(F.struct(*[best[c].alias(c) for c in ("cx", "cy", "idx")]))
+            written(found.agg(lists.alias("centers")), f"{folder}/shift={shift}")
+        if last:
             break
+        here = new_path(spark, "cells")
+        kept = written(_pruned(wide, many, shift, origin).select(F.col("u").alias("u0"), F.col("v").alias("v0"), "idx", "cx", "cy"), here)
+        if path:
+            delete(spark, path)  # nothing reads it again
+        wide, path = kept, here
         shift -= STEP
         parts = spots.select(*_cell(shift, origin)).distinct().select(
             "u", "v", *[F.shiftright(at, STEP).alias(f"{at}0") for at in "uv"]
         )
-        wide = wide.withColumnsRenamed({"u": "u0", "v": "v0"})
-        found = shuffled_for_join(parts).join(wide, ["u0", "v0"]).drop("u0", "v0")
-    cells = functools.reduce(DataFrame.unionByName, finished)
-    return CenterIndex(materialize(cells, "center-index"), origin, shifts)
+        parts = parts.join(many.select(F.col("u").alias("u0"), F.col("v").alias("v0")), ["u0", "v0"])
+    if path:
+        delete(spark, path)
+    index = spark.read.schema("u long, v long, centers array<struct<cx:long,cy:long,idx:long>>, shift int").parquet(folder)
+    return CenterIndex(index.select("shift", "u", "v", "centers"), origin, shifts)
 
 
 def assign_nearest(points: DataFrame, index: CenterIndex) -> DataFrame:

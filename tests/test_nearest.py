@@ -5,6 +5,7 @@ import random
 import pytest
 from helpers import plan, tuples
 
+from tallyloom.operators import nearest
 from tallyloom.operators.nearest import assign_nearest, index_centers
 
 
@@ -81,3 +82,42 @@ def test_plan_does_not_grow_with_the_centres(spark):
         # Each cell keeps a few of the centres.
         assert index.cells.selectExpr("max(size(centers))").first()[0] <= 64
     assert lengths[1] < 2 * lengths[0]
+
+
+def rows_shuffled(node) -> int:
+    """Rows that the exchanges of an executed plan wrote."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return rows_shuffled(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return rows_shuffled(node.plan())
+    below = node.children()
+    own = node.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+    return own + sum(rows_shuffled(below.apply(k)) for k in range(below.length()))
+
+
+def test_centres_are_pruned_before_they_are_shuffled(spark, monkeypatch):
+    """Each centre of a cell meets all parts of the cell; no shuffle carries these rows."""
+    shuffled = []
+
+    def counted(write):
+        def step(df, *rest):
+            df.collect()
+            shuffled.append(rows_shuffled(df._jdf.queryExecution().executedPlan()))
+            return write(df, *rest)
+
+        return step
+
+    for name in ("materialize", "written"):
+        if hasattr(nearest, name):
+            monkeypatch.setattr(nearest, name, counted(getattr(nearest, name)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rng = random.Random(3)
+        points = [(k, rng.randint(0, 4000), rng.randint(0, 4000)) for k in range(1500)]
+        centers = [(i, rng.randint(0, 4000), rng.randint(0, 4000)) for i in range(2000)]
+        found, _ = assigned(spark, points, centers, 64)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == brute_force(points, centers)
+    assert max(shuffled) < 40 * len(centers)
