@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.plans.storage import materialize
+from tallyloom.plans.layout import bucketed
+from tallyloom.plans.storage import PARTITIONS, materialize, shuffled_into
 
 BAG_SIZE = 10_000
 # Bytes of the rows of a bag, so that one of long texts still fits into an array.
@@ -38,11 +39,19 @@ def profile(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return materialize(sizes, "profile")
 
 
-def in_bags(rows: DataFrame, profiled: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def shuffled_size(*profiles: DataFrame) -> tuple[int, int]:
+    """Rows and bytes that ``in_bags`` shuffles of the rows profiled, if each goes into one bag."""
+    sent = F.least("copies", F.lit(CROWD))
+    found = [profiled.agg(F.sum(sent), F.sum(sent * F.col("bytes"))).first() for profiled in profiles]
+    return sum(rows or 0 for rows, _ in found), sum(size or 0 for _, size in found)
+
+
+def in_bags(rows: DataFrame, profiled: DataFrame, key: Sequence[str], columns: Sequence[str], tasks: int) -> DataFrame:
     """Distinct ``(key..., columns...)`` with their ``copies``, lying together by ``key``: one shuffle of the rows.
 
     Members of a crowd are counted in each task first; only what is left of
-    them is shuffled twice.
+    them is shuffled twice. Where the session has fewer than ``tasks`` partitions, the rows
+    are written into so many buckets, so that a task that reads them holds a bounded share.
     """
     rows = rows.select(*key, *columns)
     crowds = profiled.where(F.col("copies") > CROWD).select(F.col("digest").alias("__crowd")).distinct()
@@ -53,7 +62,13 @@ def in_bags(rows: DataFrame, profiled: DataFrame, key: Sequence[str], columns: S
         marked = rows.join(crowds, F.xxhash64(F.struct(*columns)) == F.col("__crowd"), "left")
         alone = marked.where("__crowd IS NULL").drop("__crowd").select("*", single)
         counted = alone.unionByName(with_copies(marked.where("__crowd IS NOT NULL").drop("__crowd")))
-    return counted.repartition(*key).groupBy(*key, *columns).agg(F.sum("copies").alias("copies"))
+    spark = rows.sparkSession
+    if tasks > int(spark.conf.get(PARTITIONS)):
+        with shuffled_into(spark, tasks):
+            laid = bucketed(counted, "bags", list(key), tasks)
+    else:
+        laid = counted.repartition(*key)
+    return laid.groupBy(*key, *columns).agg(F.sum("copies").alias("copies"))
 
 
 def with_copies(rows: DataFrame) -> DataFrame:

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.tokens import checked_vocabulary, mentioned, mentions, tokens
-from tallyloom.operators.bags import BAG_BYTES, BAG_SIZE, bag_of, bags_for, in_bags, profile
-from tallyloom.plans.storage import materialize
+from tallyloom.operators.bags import BAG_BYTES, BAG_SIZE, bag_of, bags_for, in_bags, profile, shuffled_size
+from tallyloom.plans.storage import materialize, tasks_for
 
 
 class CheckedVocabulary(NamedTuple):
@@ -145,7 +145,7 @@ def bag_index(
     dealt = index.select("keyword", *columns).join(hot, "keyword", "left")
     dealt = dealt.withColumn("bag", F.coalesce(bag_of(F.struct(*columns), "bags"), F.lit(0).cast("long")))
     return (
-        in_bags(dealt, profiled, ["keyword", "bag"], columns)
+        in_bags(dealt, profiled, ["keyword", "bag"], columns, tasks_for(index.sparkSession, *shuffled_size(profiled)))
         .groupBy("keyword", "bag")
         .agg(F.sum("copies").alias("n"), F.collect_list(F.struct(*columns, "copies")).alias("articles"))
     )

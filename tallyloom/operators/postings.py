@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from tallyloom.functions.postings import ANSWER, QUESTION, language_position, posting_key
 from tallyloom.functions.tokens import LANGUAGES
 from tallyloom.operators.bags import (
-    BAG_BYTES, BAG_SIZE, bag_of, bags_for, in_bags, in_every_bag, profile,
+    BAG_BYTES, BAG_SIZE, bag_of, bags_for, in_bags, in_every_bag, profile, shuffled_size,
 )
 from tallyloom.operators.skew import shuffled_for_join
 from tallyloom.plans.layout import bucketed
-from tallyloom.plans.storage import materialize
+from tallyloom.plans.storage import materialize, shuffled_into, tasks_for
 from tallyloom.sources.postings import SCHEMA
 
 COLUMNS = SCHEMA.fieldNames()
@@ -127,10 +127,14 @@ def group_postings(
     an id that very many different questions share.) So the pairs are made where
     they are collected, and those of a hot question in many tasks. Questions and
     answers are shuffled once, to these bags; how many there are comes from a
-    pass over digests, and only ids with several bags are looked up.
+    pass over digests, and only ids with several bags are looked up. Where the
+    session's partitions would hold too much, the bags are laid out in more buckets.
     """
+    spark = postings.sparkSession
     questions, answers = _sides(postings, strict)
-    asked_rows, answered_rows = profile(questions, "qid", ["question"]), profile(answers, "qid", ["answer"])
+    first_tasks = tasks_for(spark, postings.count())
+    with shuffled_into(spark, first_tasks):
+        asked_rows, answered_rows = profile(questions, "qid", ["question"]), profile(answers, "qid", ["answer"])
     asked, answered = F.col("asked"), F.col("answered")
     per_bag = F.least(asked, F.lit(bag_size))
     # Of the pairs of a question bag: its questions once per answer, and the other way round.
@@ -145,10 +149,21 @@ def group_postings(
             "qid",
             bags_for(asked, F.col("asked_bytes"), bag_size, bag_bytes).alias("question_bags"),
             bags_for(answered * per_bag, paired, bag_size, bag_bytes).alias("answer_bags"),
+            "asked", "answered", "asked_bytes", "answered_bytes",
         )
         .where("question_bags > 1 OR answer_bags > 1")
+        # Beyond once each: the rows that go into several bags, and their bytes.
+        .withColumns({
+            f"more_{name}": F.expr(f"asked{of} * (answer_bags - 1) + answered{of} * (question_bags - 1)")
+            for name, of in (("rows", ""), ("bytes", "_bytes"))
+        })
+        .drop("asked", "answered", "asked_bytes", "answered_bytes")
     )
-    bags = materialize(bags, "hot-questions")
+    with shuffled_into(spark, first_tasks):
+        bags = materialize(bags, "hot-questions")
+    more = bags.agg(F.sum("more_rows"), F.sum("more_bytes")).first()
+    tasks = tasks_for(spark, *[once + (again or 0) for once, again in zip(shuffled_size(asked_rows, answered_rows), more)])
+    bags = bags.drop("more_rows", "more_bytes")
 
     def looked_up(side: DataFrame) -> DataFrame:
         found = side.join(bags, "qid", "left")
@@ -161,8 +176,8 @@ def group_postings(
     dealt_answers = in_every_bag(
         looked_up(answers).withColumn("answer_bag", bag_of(F.col("answer"), "answer_bags")), "question_bags", "question_bag"
     )
-    dealt_questions = in_bags(dealt_questions, asked_rows, key, ["question"]).withColumnRenamed("copies", "question_copies")
-    dealt_answers = in_bags(dealt_answers, answered_rows, key, ["answer"])
+    dealt_questions = in_bags(dealt_questions, asked_rows, key, ["question"], tasks).withColumnRenamed("copies", "question_copies")
+    dealt_answers = in_bags(dealt_answers, answered_rows, key, ["answer"], tasks)
     copies = F.col("question_copies") * F.col("copies")
     nested = (
         dealt_questions.join(dealt_answers, key)

@@ -47,6 +47,17 @@ def test_a_hot_question_lies_in_several_buckets(hot):
         postings.place_pairs(hot, 5, part_rows=0)
 
 
+def test_partitions_of_bags_grow_with_the_postings(spark, hot, monkeypatch):
+    """What a task collects stays as it is when there are more postings than the session's partitions should hold."""
+    grouped = sorted(tuples(postings.ungroup_postings(postings.group_postings(hot, bag_size=3))))
+    monkeypatch.setattr(storage, "TASK_ROWS", 20, raising=False)
+    bags = postings.group_postings(hot, bag_size=3)
+    sizes = [r["count"] for r in bags.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 40
+    assert sorted(tuples(postings.ungroup_postings(bags))) == grouped
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
 def files_under(folder):
     return [name for _, _, names in os.walk(folder) for name in names]
 
