@@ -23,6 +23,8 @@ SPREAD = 50_000
 INT_MAX = 2**31 - 1
 # Answers of one question that a bucket takes before they are dealt into several.
 PART_ROWS = 1_000_000
+# Postings to a bucket: a task sorts and merges one.
+BUCKET_ROWS = 250_000
 
 
 def keyed(postings: DataFrame) -> DataFrame:
@@ -87,11 +89,16 @@ def place_pairs(
     For postings that are matched more than once: the shuffle is paid here. The
     answers of a question with more than ``part_rows`` of them are dealt into
     parts by a hash, and the question goes into each part, so that no bucket
-    holds all of a hot question.
+    holds all of a hot question. There are ``buckets`` buckets, or more, so that none
+    has more than ``BUCKET_ROWS`` postings on average.
     """
     questions, answers = _sides(postings, strict)
     if part_rows < 1:
         raise ValueError("part_rows must be positive")
+    if buckets < 1:
+        raise ValueError("at least one bucket is needed")
+    rows = postings.count()
+    buckets = max(buckets, -(-rows // BUCKET_ROWS))
     parts = F.ceil(F.count(F.lit(1)) / part_rows).cast("long")
     hot = shuffled_for_join(answers.groupBy("qid").agg(parts.alias("parts")).where("parts > 1"))
     known = F.coalesce("parts", F.lit(1)).cast("long")
@@ -100,7 +107,9 @@ def place_pairs(
     spread = in_every_bag(questions.join(hot, "qid", "left").withColumn("parts", known), "parts", "part")
     spread = spread.select("qid", F.col("part").cast("long").alias("part"), "question")
     keys = ["qid", "part"]
-    return bucketed(spread, "questions", keys, buckets), bucketed(dealt, "answers", keys, buckets)
+    spark = postings.sparkSession
+    with shuffled_into(spark, tasks_for(spark, rows)):
+        return bucketed(spread, "questions", keys, buckets), bucketed(dealt, "answers", keys, buckets)
 
 
 def pair_placed(questions: DataFrame, answers: DataFrame) -> DataFrame:

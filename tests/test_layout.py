@@ -58,6 +58,16 @@ def test_partitions_of_bags_grow_with_the_postings(spark, hot, monkeypatch):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
+def test_buckets_grow_with_the_postings(spark, hot, monkeypatch):
+    """A task sorts no more when there are more postings than the buckets asked for should hold."""
+    monkeypatch.setattr(postings, "BUCKET_ROWS", 20, raising=False)
+    questions, answers = postings.place_pairs(hot, 5, part_rows=10)
+    sizes = [r["count"] for r in answers.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 80
+    pairs = postings.pair_placed(questions, answers)
+    assert "Exchange" not in plan(pairs) and sorted(tuples(pairs)) == sorted(tuples(postings.pair_postings(hot)))
+
+
 def files_under(folder):
     return [name for _, _, names in os.walk(folder) for name in names]
 
