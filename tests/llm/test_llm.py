@@ -346,6 +346,35 @@ def test_long_runs_that_others_have_are_found_by_brute_force(spark, documents):
     assert shared and all(any(s <= k and k + substring.RUN <= e for s, e in found.get(doc, ())) for doc, k in shared)
 
 
+def test_words_said_again_and_again_have_few_seeds():
+    random = np.random.default_rng(13)
+    for period in (1, 2, 7, 16, 40):
+        codes = np.concatenate([random.integers(0, 2**40, 60), np.tile(random.integers(0, 2**40, period), 2000 // period), random.integers(0, 2**40, 60)]).astype(np.uint64)
+        found, at = substring.seeds_of(codes)
+        assert len(at) < len(codes) / 4 and (np.diff(at) <= substring.SPREAD).all()
+        assert all(min(hashes) in found[(at >= k) & (at < k + substring.SPREAD)] for k, hashes in enumerate(np.lib.stride_tricks.sliding_window_view(hashes_of(codes), substring.SPREAD)))
+        whole = np.arange(len(codes) - substring.SEED + 1)
+        keys, positions, _ = substring._longer_keys((codes >> np.uint64(24)).astype("<u2"), whole, np.ones(len(whole), bool))
+        places: dict[int, list] = {}
+        for key, k in zip(keys.tolist(), positions.tolist()):
+            places.setdefault(key, []).append(k)
+        assert all(len(x) <= 2000 / (substring.SPREAD / 2) + 3 for x in places.values())
+
+
+def hashes_of(codes):
+    n = len(codes) - substring.SEED + 1
+    return substring.mix64(sum((codes[k : n + k] * substring._POWERS[k] for k in range(substring.SEED)), np.zeros(n, np.uint64)))
+
+
+def test_words_that_two_documents_say_again_and_again_are_found(spark):
+    random = np.random.default_rng(14)
+    text = lambda n: ["".join(random.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    rows = [(k, " ".join(text(40) + ["again"] * n + text(40))) for k, n in enumerate((60, 300))]
+    rows += [(k + 2, " ".join(text(40) + ["so", "on"] * n + text(40))) for k, n in enumerate((26, 90))]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["start_word"], r["end_word"]) for r in found) == [(0, 40, 100), (1, 40, 340), (2, 40, 92), (3, 40, 220)]
+
+
 def test_chains_take_the_best_match_in_reach():
     random = np.random.default_rng(3)
     for _ in range(40):
