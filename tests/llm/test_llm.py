@@ -375,6 +375,20 @@ def test_words_that_two_documents_say_again_and_again_are_found(spark):
     assert sorted((r["doc_id"], r["start_word"], r["end_word"]) for r in found) == [(0, 40, 100), (1, 40, 340), (2, 40, 92), (3, 40, 220)]
 
 
+def test_every_partner_is_met_where_asked_for(spark, monkeypatch):
+    """Each of the documents of a passage has another word of it changed."""
+    monkeypatch.setattr(substring, "PLACES", 3)
+    random = np.random.default_rng(15)
+    text = lambda n: ["".join(random.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    passage = text(90)
+    rows = [(k, " ".join(text(40) + passage[: 7 * k + 5] + text(1) + passage[7 * k + 6 :] + text(40))) for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    met = {(r["a"], r["b"]) for r in substring.stretches(docs, every=True).where("a_end - a_start > 50").collect()}
+    assert met == {(a, b) for b in range(12) for a in range(b)}
+    whole = {r["doc_id"]: r for r in substring.repeated_passages(docs, every=True).collect()}
+    assert len(whole) == 12 and all(r["words"] >= 75 for r in whole.values())
+
+
 def test_chains_take_the_best_match_in_reach():
     random = np.random.default_rng(3)
     for _ in range(40):
