@@ -21,17 +21,31 @@ from tallyloom.plans.storage import delete, materialize, new_path, written
 LEAF = 64
 # Bits by which the side of a cell shrinks at a time: a cell has 16 parts.
 STEP = 2
+# Bytes in memory of a row of cells, and of each centre in a list.
+CELL_BYTES, CENTER_BYTES = 112, 40
 
 
 class CenterIndex(NamedTuple):
     """``cells`` ``(shift, u, v, centers)``: cell (u, v) of side 2**shift from the origin, and its centres.
 
-    It serves points in the cells that the points it was made for lie in.
+    It serves points in the cells that the points it was made for lie in. ``size``
+    is the memory that the cells take, in bytes.
     """
 
     cells: DataFrame
     origin: tuple[int, int]
     shifts: list[int]
+    size: int
+
+
+def _side(rows: DataFrame, size: int) -> DataFrame:
+    """The side of a join, broadcast if its bytes in memory are within the session's limit, or else shuffled.
+
+    Left alone, Spark takes the length of the files for the size of a table: encoded
+    cells and lists of centres are tens of times as large in the driver that broadcasts them.
+    """
+    limit = rows.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(rows) if size <= limit else rows.hint("merge")
 
 
 def _cell(shift: int, origin: tuple[int, int]) -> list[Column]:
@@ -57,24 +71,24 @@ def _reach(shift: int, origin: tuple[int, int]) -> tuple[Column, Column]:
     return least[0] + least[1], greatest[0] + greatest[1]
 
 
-def _cells(wide: DataFrame, parts: DataFrame, shift: int, origin: tuple[int, int]) -> DataFrame:
-    """The cells ``parts`` ``(u, v, u0, v0)`` with their ``bound``, and the number ``n`` of centres that can be nearest there.
+def _cells(wide: DataFrame, parts: DataFrame, size: int, shift: int, origin: tuple[int, int]) -> DataFrame:
+    """The cells ``parts`` ``(u, v, u0, v0)``, of so many bytes, with their ``bound``, and the number ``n`` of centres that can be nearest there.
 
     ``wide`` are the centres ``(u0, v0, idx, cx, cy)`` of the cells that are cut. Each meets all
     parts of its cell, but that is only summed up within the join's tasks: no such row is shuffled or written.
     """
     least, greatest = _reach(shift, origin)
-    bounds = wide.join(parts, ["u0", "v0"]).groupBy("u", "v").agg(F.min(greatest).alias("bound"))
+    bounds = wide.join(_side(parts, size), ["u0", "v0"]).groupBy("u", "v").agg(F.min(greatest).alias("bound"))
     whole = [F.shiftright(at, STEP).alias(f"{at}0") for at in "uv"]
     bounds = materialize(bounds.select("u", "v", *whole, "bound"), "bounds")
-    sizes = wide.join(bounds, ["u0", "v0"]).where(least <= F.col("bound")).groupBy("u", "v", "bound").agg(F.count(F.lit(1)).alias("n"))
+    sizes = wide.join(_side(bounds, size), ["u0", "v0"]).where(least <= F.col("bound")).groupBy("u", "v", "bound").agg(F.count(F.lit(1)).alias("n"))
     return materialize(sizes.select("u", "v", *whole, "bound", "n"), "sizes")
 
 
-def _pruned(wide: DataFrame, cells: DataFrame, shift: int, origin: tuple[int, int]) -> DataFrame:
-    """Rows ``(u, v, idx, cx, cy)`` of the centres that can be nearest in one of ``cells``."""
+def _pruned(wide: DataFrame, cells: DataFrame, size: int, shift: int, origin: tuple[int, int]) -> DataFrame:
+    """Rows ``(u, v, idx, cx, cy)`` of the centres that can be nearest in one of ``cells``, which take so many bytes."""
     least, _ = _reach(shift, origin)
-    return wide.join(cells.drop("n"), ["u0", "v0"]).where(least <= F.col("bound")).select("u", "v", "idx", "cx", "cy")
+    return wide.join(_side(cells.drop("n"), size), ["u0", "v0"]).where(least <= F.col("bound")).select("u", "v", "idx", "cx", "cy")
 
 
 def index_centers(centers: DataFrame, points: DataFrame, leaf: int = LEAF) -> CenterIndex:
@@ -98,15 +112,18 @@ def index_centers(centers: DataFrame, points: DataFrame, leaf: int = LEAF) -> Ce
     shift = -(-span.bit_length() // STEP) * STEP
     spark, zero = points.sparkSession, F.lit(0).cast("long")
     wide, path = placed.select(zero.alias("u0"), zero.alias("v0"), "idx", "cx", "cy"), None
-    parts = spark.range(1).select(*[zero.alias(at) for at in ("u", "v", "u0", "v0")])
-    folder, shifts = new_path(spark, "center-index"), []
+    parts, n_parts = spark.range(1).select(*[zero.alias(at) for at in ("u", "v", "u0", "v0")]), 1
+    folder, shifts, size = new_path(spark, "center-index"), [], 0
     while True:
         shifts.append(shift)
-        cells = _cells(wide, parts, shift, origin)
-        few, many = (cells.where(f"n <= {leaf}"), cells.where(f"n > {leaf}")) if shift else (cells, cells.where("false"))
-        last = many.isEmpty()
-        if last or not few.isEmpty():
-            found = _pruned(wide, few, shift, origin).groupBy("u", "v")
+        cells = _cells(wide, parts, n_parts * CELL_BYTES, shift, origin)
+        fits = F.expr(f"n <= {leaf}" if shift else "true")
+        few, many = cells.where(fits), cells.where(~fits)
+        n_few, n_many, listed = cells.agg(F.count_if(fits), F.count_if(~fits), F.sum(F.when(fits, F.col("n")))).first()
+        last = n_many == 0
+        if last or n_few:
+            size += n_few * CELL_BYTES + (listed or 0 if shift else n_few) * CENTER_BYTES
+            found = _pruned(wide, few, n_few * CELL_BYTES, shift, origin).groupBy("u", "v")
             lists = F.collect_list(F.struct("cx", "cy", "idx"))
             if shift == 0:  # one point: all that are left are as near
                 best = F.min(F.struct("idx", "cx", "cy"))
@@ -115,7 +132,7 @@ def index_centers(centers: DataFrame, points: DataFrame, leaf: int = LEAF) -> Ce
         if last:
             break
         here = new_path(spark, "cells")
-        kept = written(_pruned(wide, many, shift, origin).select(F.col("u").alias("u0"), F.col("v").alias("v0"), "idx", "cx", "cy"), here)
+        kept = written(_pruned(wide, many, n_many * CELL_BYTES, shift, origin).select(F.col("u").alias("u0"), F.col("v").alias("v0"), "idx", "cx", "cy"), here)
         if path:
             delete(spark, path)  # nothing reads it again
         wide, path = kept, here
@@ -123,18 +140,20 @@ def index_centers(centers: DataFrame, points: DataFrame, leaf: int = LEAF) -> Ce
         parts = spots.select(*_cell(shift, origin)).distinct().select(
             "u", "v", *[F.shiftright(at, STEP).alias(f"{at}0") for at in "uv"]
         )
-        parts = parts.join(many.select(F.col("u").alias("u0"), F.col("v").alias("v0")), ["u0", "v0"])
+        whole = _side(many.select(F.col("u").alias("u0"), F.col("v").alias("v0")), n_many * CELL_BYTES)
+        parts = materialize(parts.join(whole, ["u0", "v0"]), "parts")
+        n_parts = parts.count()
     if path:
         delete(spark, path)
     index = spark.read.schema("u long, v long, centers array<struct<cx:long,cy:long,idx:long>>, shift int").parquet(folder)
-    return CenterIndex(index.select("shift", "u", "v", "centers"), origin, shifts)
+    return CenterIndex(index.select("shift", "u", "v", "centers"), origin, shifts, size)
 
 
 def assign_nearest(points: DataFrame, index: CenterIndex) -> DataFrame:
     """The rows with the index of the nearest centre as ``cluster``; the lowest wins ties, and no place gives -1.
 
-    A point looks for its cell among those of each size, of which one has it. Spark
-    broadcasts the cells where their size allows.
+    A point looks for its cell among those of each size, of which one has it. The
+    cells are broadcast where their size in memory allows.
     """
     cells = [F.struct(F.lit(shift).alias("shift"), *_cell(shift, index.origin)) for shift in index.shifts]
     looked = points.where("x IS NOT NULL AND y IS NOT NULL").withColumn("__cell", F.explode(F.array(*cells)))
@@ -145,6 +164,6 @@ def assign_nearest(points: DataFrame, index: CenterIndex) -> DataFrame:
         return F.struct((dx * dx + dy * dy).alias("d"), c["idx"].alias("i"))
 
     best = F.array_min(F.transform("__centers", distance))["i"]
-    assigned = looked.join(centers, "__cell").select(*points.columns, best.alias("cluster"))
+    assigned = looked.join(_side(centers, index.size), "__cell").select(*points.columns, best.alias("cluster"))
     nowhere = points.where("x IS NULL OR y IS NULL").select(*points.columns, F.lit(-1).cast("long").alias("cluster"))
     return assigned.unionByName(nowhere)

@@ -121,3 +121,24 @@ def test_centres_are_pruned_before_they_are_shuffled(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert found == brute_force(points, centers)
     assert max(shuffled) < 40 * len(centers)
+
+
+def test_cells_are_broadcast_by_their_size_in_memory(spark):
+    """Files of cells are much smaller than the lists in them; only those that take no more than the limit are broadcast."""
+    rng = random.Random(4)
+    points = [(k, rng.randint(0, 9999), rng.randint(0, 9999)) for k in range(500)]
+    centers = [(i, rng.randint(0, 9999), rng.randint(0, 9999)) for i in range(5000)]
+    found, index = assigned(spark, points, centers, 64)
+    assert found == brute_force(points, centers)
+    numbers = index.cells.selectExpr("8 * 3 * sum(size(centers))").first()[0]  # three longs a centre
+    joined = {}
+    for limit in (numbers // 2, 100 * numbers):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(limit))
+        try:
+            df = assign_nearest(frame(spark, points, "k int, x int, y int"), index)
+            joined[limit] = plan(df)
+            assert sorted(tuples(df), key=repr) == found
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in joined[numbers // 2] and "Broadcast" not in joined[numbers // 2]
+    assert "BroadcastHashJoin" in joined[100 * numbers]
