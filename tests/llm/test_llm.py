@@ -389,6 +389,39 @@ def test_every_partner_is_met_where_asked_for(spark, monkeypatch):
     assert len(whole) == 12 and all(r["words"] >= 75 for r in whole.values())
 
 
+def test_every_partner_is_met_unasked(spark, monkeypatch):
+    """Whoever shares a passage meets, in several passes over the documents, too; copies of a text count one by one."""
+    random = np.random.default_rng(16)
+    text = lambda n: ["".join(random.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    passage = text(90)
+    rows = [(k, " ".join(text(40) + passage[: 7 * k + 5] + text(1) + passage[7 * k + 6 :] + text(40))) for k in range(12)]
+    copy = " ".join(text(120))
+    copies = {k: copy.upper() if k == 33 else copy for k in (30, 31, 32, 33, 34)}
+    docs = spark.createDataFrame(rows + list(copies.items()) + [(20, rows[5][1]), (20, rows[5][1])], "doc_id long, text string")
+    asked = {(a, b) for b in [*range(12), 20] for a in [*range(12), 20] if a < b} | {(a, b) for b in copies for a in copies if a < b}
+    for name, value in (("FREQUENT", 2), ("MATCHES", 50)):
+        monkeypatch.setattr(substring, name, value)
+    met = {(r["a"], r["b"]) for r in substring.stretches(docs).where("a_end - a_start > 50").collect()}
+    assert met == asked
+    found = {r["doc_id"]: r for r in substring.repeated_passages(docs).collect()}
+    assert set(found) == {*range(12), 20, *copies}
+    for k in copies:
+        assert (found[k]["start_word"], found[k]["end_word"], found[k]["partners"], found[k]["partner_id"]) == (0, 120, 4, 31 if k == 30 else 30)
+    assert found[5]["words"] == found[20]["words"] == 170
+    assert all(found[k]["partner_id"] == (1 if k == 0 else 0) for k in [*range(12), 20])
+
+
+def test_each_two_documents_of_a_long_run_meet(spark, documents):
+    holders: dict[tuple, set] = {}
+    for i, t in zip(documents["doc_id"], documents["text"]):
+        words = (t or "").lower().split()
+        for k in range(len(words) - substring.RUN + 1):
+            holders.setdefault(tuple(words[k : k + substring.RUN]), set()).add(int(i))
+    asked = {(a, b) for some in holders.values() for a in some for b in some if a < b}
+    met = {(r["a"], r["b"]) for r in substring.stretches(spark.createDataFrame(documents[["doc_id", "text"]])).where("a_end - a_start > 50").collect()}
+    assert asked and asked <= met
+
+
 def test_chains_take_the_best_match_in_reach():
     random = np.random.default_rng(3)
     for _ in range(40):
