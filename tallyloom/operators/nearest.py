@@ -80,7 +80,7 @@ def _cells(wide: DataFrame, parts: DataFrame, size: int, shift: int, origin: tup
     least, greatest = _reach(shift, origin)
     bounds = wide.join(_side(parts, size), ["u0", "v0"]).groupBy("u", "v").agg(F.min(greatest).alias("bound"))
     whole = [F.shiftright(at, STEP).alias(f"{at}0") for at in "uv"]
-    bounds = materialize(bounds.select("u", "v", *whole, "bound"), "bounds")
+    bounds = materialize(bounds.select("u", "v", *whole, "bound"), "cell-bounds")
     sizes = wide.join(_side(bounds, size), ["u0", "v0"]).where(least <= F.col("bound")).groupBy("u", "v", "bound").agg(F.count(F.lit(1)).alias("n"))
     return materialize(sizes.select("u", "v", *whole, "bound", "n"), "sizes")
 
